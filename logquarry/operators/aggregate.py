@@ -27,6 +27,11 @@ def _with_hour(curated: DataFrame) -> DataFrame:
     return curated.withColumns({"day": request_day(_TIME), "hour": request_hour(_TIME)})
 
 
+def _spell_hour(grouped: DataFrame) -> DataFrame:
+    rest = [c for c in grouped.columns if c not in ("day", "hour")]
+    return grouped.select(day_hour("day", "hour").alias("day_hour"), *rest)
+
+
 def per_device_agg(curated: DataFrame) -> DataFrame:
     """device → get, post, head, hour (the sum of hours), no_of_client (requests)."""
     return (
@@ -64,12 +69,7 @@ def hourly_per_client_agg(curated: DataFrame) -> DataFrame:
         _with_hour(curated)
         .groupBy("day", "hour", "clientip")
         .agg(F.count("id").alias("count_row"), *_method_counts())
-        .select(
-            day_hour("day", "hour").alias("day_hour"),
-            "clientip",
-            "count_row",
-            *[name.lower() for name in METHODS],
-        )
+        .transform(_spell_hour)
     )
 
 
@@ -109,12 +109,7 @@ def hourly_across_agg(curated: DataFrame) -> DataFrame:
             F.count("id").alias("count_row"),
             *_method_counts(),
         )
-        .select(
-            day_hour("day", "hour").alias("day_hour"),
-            "no_of_clients",
-            "count_row",
-            *[name.lower() for name in METHODS],
-        )
+        .transform(_spell_hour)
     )
 
 
@@ -139,11 +134,7 @@ def count_clients(hourly_per_client: DataFrame) -> DataFrame:
     Each output counts the rows of the hour, that is its distinct clients; only
     ``no_of_clients`` leaves out a NULL client.
     """
-    return hourly_per_client.groupBy("day_hour").agg(
-        F.count("clientip").alias("no_of_clients"),
-        F.count("count_row").alias("id"),
-        *[F.count(name.lower()).alias(f"no_{name.lower()}") for name in METHODS],
-    )
+    return hourly_per_client.groupBy("day_hour").agg(*_client_counts())
 
 
 def hourly_distinct_clients(curated: DataFrame) -> DataFrame:
@@ -152,7 +143,16 @@ def hourly_distinct_clients(curated: DataFrame) -> DataFrame:
     Two aggregates, not one ``count(DISTINCT)`` per output: the first one removes repeats
     on the map side, so a busy hour reaches the second as one row per client.
     """
-    return count_clients(hourly_per_client_agg(curated))
+    clients = _with_hour(curated).select("day", "hour", "clientip").distinct()
+    return clients.groupBy("day", "hour").agg(*_client_counts()).transform(_spell_hour)
+
+
+def _client_counts() -> list[Column]:
+    rows = ["id", *[f"no_{name.lower()}" for name in METHODS]]
+    return [
+        F.count("clientip").alias("no_of_clients"),
+        *[F.count(F.lit(1)).alias(name) for name in rows],
+    ]
 
 
 def aggregate_row_id(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,10 @@ def line_id(lines: DataFrame) -> DataFrame:
     return lines.select(F.monotonically_increasing_id().alias("id"), *lines.columns)
 
 
-def extract_columns(lines: DataFrame, family: str = "loose") -> DataFrame:
-    """``value`` to ``id`` and the eight extracted columns, all strings."""
+def extract_columns(
+    lines: DataFrame, family: str = "loose", columns: Sequence[str] = EXTRACTED_COLUMNS
+) -> DataFrame:
+    """``value`` to ``id`` and the extracted columns, all strings."""
     return line_id(lines).select(
-        "id", *[extract_field("value", name, family).alias(name) for name in EXTRACTED_COLUMNS]
+        "id", *[extract_field("value", name, family).alias(name) for name in columns]
     )

@@ -6,30 +6,36 @@ ends in an aggregate only evaluates the patterns whose columns it reads.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logquarry.functions.clean import first_token, parse_timestamp, size_to_kb
 from logquarry.functions.patterns import TIME_FORMAT
 from logquarry.operators import aggregate
-from logquarry.operators.cleaning import blank_to_null, drop_referer, fill_na, referer_flag, type_columns
+from logquarry.operators.cleaning import blank_to_null, drop_referer, fill_na, referer_flag
 from logquarry.operators.dedup import dedup_requests
 from logquarry.operators.extraction import extract_columns
 from logquarry.plans.profiles import LOOSE, LogProfile
+from logquarry.schema import EXTRACTED_COLUMNS
+
 
+def to_raw(
+    lines: DataFrame, profile: LogProfile = LOOSE, columns: Sequence[str] = EXTRACTED_COLUMNS
+) -> DataFrame:
+    """Extract, remove duplicates, strip the request, size to KB, mark what is missing.
 
-def to_raw(lines: DataFrame, profile: LogProfile = LOOSE) -> DataFrame:
-    """Extract, remove duplicates, strip the request, size to KB, mark what is missing."""
-    raw = extract_columns(lines, profile.family)
+    With fewer ``columns`` the later layers stay as narrow. Counting requests takes
+    ``DEDUP_KEYS`` only, and removing duplicates among those alone is cheaper.
+    """
+    raw = extract_columns(lines, profile.family, columns)
     if profile.dedup:
         raw = dedup_requests(raw)
-    changes = {}
-    if profile.strip:
-        changes["request"] = profile.strip("request")
-    if profile.kb_digits is not None:
-        changes["size"] = size_to_kb("size", profile.kb_digits)
-    if changes:
-        raw = raw.withColumns(changes)
+    if profile.strip and "request" in columns:
+        raw = raw.withColumn("request", profile.strip("request"))
+    if profile.kb_digits is not None and "size" in columns:
+        raw = raw.withColumn("size", size_to_kb("size", profile.kb_digits))
     return profile.mark_missing(raw) if profile.mark_missing else raw
 
 
@@ -46,24 +52,24 @@ def to_cleansed(
     cleansed = raw.withColumn(
         "datetime_confirmed", parse_timestamp(first_token("datetime_confirmed"), time_format)
     )
-    if profile.kb_digits is None:
-        cleansed = type_columns(cleansed)
-    else:
-        cleansed = cleansed.withColumn(
-            "status_code", F.trim("status_code").try_cast("int")
-        )
+    if "status_code" in raw.columns:
+        cleansed = cleansed.withColumn("status_code", F.col("status_code").try_cast("int"))
+    if "size" in raw.columns and profile.kb_digits is None:
+        cleansed = cleansed.withColumn("size", F.col("size").try_cast("bigint"))
     if profile.fill:
         cleansed = fill_na(cleansed)
-    return referer_flag(cleansed)
+    return referer_flag(cleansed) if "referer" in raw.columns else cleansed
 
 
 def to_curated(cleansed: DataFrame) -> DataFrame:
     return drop_referer(cleansed)
 
 
-def curate(lines: DataFrame, profile: LogProfile = LOOSE) -> DataFrame:
+def curate(
+    lines: DataFrame, profile: LogProfile = LOOSE, columns: Sequence[str] = EXTRACTED_COLUMNS
+) -> DataFrame:
     """Lines straight to the curated layer."""
-    return to_curated(to_cleansed(to_raw(lines, profile), profile))
+    return to_curated(to_cleansed(to_raw(lines, profile, columns), profile))
 
 
 def aggregate_layers(curated: DataFrame, cache: bool = False) -> dict[str, DataFrame]:

@@ -17,7 +17,8 @@ from logquarry.operators.dedup import dedup_requests
 from logquarry.operators.extraction import extract_columns, line_id
 from logquarry.plans.jobs import publish_layers
 from logquarry.plans.layers import curate, to_cleansed, to_raw
-from logquarry.plans.profiles import DISTINCT, LOOSE, STRICT, TYPED
+from logquarry.plans.profiles import DISTINCT, LOOSE, STRICT, TYPED, LogProfile
+from logquarry.schema import DEDUP_KEYS
 from logquarry.session import scratch_folder
 from logquarry.sources import catalog, readers, writers
 from logquarry.sources.event_lines import event_lines
@@ -32,6 +33,11 @@ def _numbered(lines: DataFrame) -> DataFrame:
     return lines.select(F.col("id").alias("line_no"), "value")
 
 
+def _requests(lines: DataFrame, profile: LogProfile) -> DataFrame:
+    """A curated layer of what counting needs."""
+    return curate(lines, profile, DEDUP_KEYS)
+
+
 # --- sources ---------------------------------------------------------------------------
 
 
@@ -58,7 +64,7 @@ def numbered_lines(spark, sf_dir):
 def row_count(spark, sf_dir):
     lines = _hourly_lines(spark, sf_dir)
     raw = to_raw(lines, DISTINCT)
-    curated = curate(lines, DISTINCT)
+    curated = _requests(lines, DISTINCT)
     layers = {
         "lines": lines,
         "raw": raw,
@@ -250,7 +256,7 @@ def per_client(spark, sf_dir):
 
 
 def hourly_per_client(spark, sf_dir):
-    return aggregate.hourly_per_client_agg(curate(_hourly_lines(spark, sf_dir), DISTINCT))
+    return aggregate.hourly_per_client_agg(_requests(_hourly_lines(spark, sf_dir), DISTINCT))
 
 
 def across_totals(spark, sf_dir):
@@ -263,7 +269,7 @@ def across_first_hour(spark, sf_dir):
 
 def hourly_across(spark, sf_dir):
     """Flagship: lines without duplicates, cleaned, counted per hour."""
-    return aggregate.hourly_across_agg(curate(_hourly_lines(spark, sf_dir), DISTINCT))
+    return aggregate.hourly_across_agg(_requests(_hourly_lines(spark, sf_dir), DISTINCT))
 
 
 def hourly_across_all(spark, sf_dir):

@@ -1,0 +1,170 @@
+import datetime as dt
+
+import pytest
+
+from logquarry.operators import aggregate as A
+from logquarry.operators.dedup import dedup_requests
+from logquarry.operators.extraction import extract_columns
+from logquarry.plans.layers import aggregate_layers, curate
+from logquarry.plans.profiles import DISTINCT, LOOSE, TYPED
+from logquarry.schema import DEDUP_KEYS
+from tests.lines import frame
+
+
+def line(client="1.1.1.1", time="22/Jan/2019:03:00:00", method="GET", agent="Mozilla/5.0 (Linux; Android 6.0; A)"):
+    return f'{client} - - [{time} +0330] "{method} /x HTTP/1.1" 200 5 "-" "{agent} x" "-"'
+
+
+SEED = 304 * [line()] + 11 * [line(method="POST")] + 4 * [line(method="HEAD")]
+
+MIXED = [
+    line("2.2.2.2", "22/Jan/2019:05:00:00"),
+    line("1.1.1.1", "22/Jan/2019:03:00:00", "POST"),
+    line("2.2.2.2", "22/Jan/2019:03:10:00"),
+    line("2.2.2.2", "22/Jan/2019:03:10:00"),
+    line("1.1.1.1", "23/Jan/2019:14:00:00", agent="Mozilla/5.0 (Windows NT 6.2; W)"),
+    "garbage",
+    "garbage",
+]
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_totals_of_the_seed(spark):
+    totals = A.across_device_totals(curate(frame(spark, SEED), TYPED))
+    assert totals.columns == ["no_get", "no_post", "no_head", "day_hour", "no_of_clients", "row_id"]
+    assert rows(totals) == [(304, 11, 4, 957, 319, 0)]
+
+
+def test_per_device(spark):
+    got = A.per_device_agg(curate(frame(spark, MIXED), TYPED))
+    assert got.columns == ["device", "get", "post", "head", "hour", "no_of_client"]
+    assert rows(got) == [
+        ("", 0, 0, 0, None, 2),
+        ("Linux; Android 6.0", 3, 1, 0, 14, 4),
+        ("Windows NT 6.2", 1, 0, 0, 14, 1),
+    ]
+
+
+def test_per_client_takes_the_hour_of_the_lowest_id(spark):
+    got = A.per_client_agg(curate(frame(spark, MIXED, partitions=5), LOOSE))
+    assert got.columns == ["clientip", "get", "post", "head", "hour", "no_of_client"]
+    assert rows(got) == [
+        ("1.1.1.1", 1, 1, 0, 3, 2),
+        ("2.2.2.2", 3, 0, 0, 5, 3),
+        ("garbage", 0, 0, 0, None, 2),
+    ]
+
+
+def test_across_clients_first_hour(spark):
+    got = A.across_clients_first_hour(curate(frame(spark, MIXED, partitions=5), LOOSE))
+    assert rows(got) == [(3, 3, 3, 5, 3, 0)]
+
+
+def test_hourly(spark):
+    curated = curate(frame(spark, MIXED), LOOSE)
+    per_client = A.hourly_per_client_agg(curated)
+    assert per_client.columns == ["day_hour", "clientip", "count_row", "get", "post", "head"]
+    assert rows(per_client) == [
+        ("2019-01-22 3", "1.1.1.1", 1, 0, 1, 0),
+        ("2019-01-22 3", "2.2.2.2", 2, 2, 0, 0),
+        ("2019-01-22 5", "2.2.2.2", 1, 1, 0, 0),
+        ("2019-01-23 14", "1.1.1.1", 1, 1, 0, 0),
+        (None, "garbage", 2, 0, 0, 0),
+    ]
+    across = A.hourly_across_agg(curated)
+    assert across.columns == ["day_hour", "no_of_clients", "count_row", "get", "post", "head"]
+    assert rows(across) == [
+        ("2019-01-22 3", 3, 3, 2, 1, 0),
+        ("2019-01-22 5", 1, 1, 1, 0, 0),
+        ("2019-01-23 14", 1, 1, 1, 0, 0),
+        (None, 2, 2, 0, 0, 0),
+    ]
+    assert rows(A.roll_up_clients(per_client)) == rows(across)
+
+
+def test_hourly_distinct_clients(spark):
+    curated = curate(frame(spark, MIXED), LOOSE)
+    got = A.hourly_distinct_clients(curated)
+    assert got.columns == ["day_hour", "no_of_clients", "id", "no_get", "no_post", "no_head"]
+    assert rows(got) == [
+        ("2019-01-22 3", 2, 2, 2, 2, 2),
+        ("2019-01-22 5", 1, 1, 1, 1, 1),
+        ("2019-01-23 14", 1, 1, 1, 1, 1),
+        (None, 1, 1, 1, 1, 1),
+    ]
+    assert rows(A.count_clients(A.hourly_per_client_agg(curated))) == rows(got)
+
+
+def test_null_client_counts_as_a_row_but_not_as_a_client(spark):
+    df = spark.createDataFrame(
+        [(1, None, dt.datetime(2019, 1, 1, 2), "GET"), (2, "a", dt.datetime(2019, 1, 1, 2), "GET")],
+        "id bigint, clientip string, datetime_confirmed timestamp_ntz, method_GET string",
+    )
+    assert rows(A.hourly_across_agg(df)) == [("2019-01-01 2", 1, 2, 2, 0, 0)]
+    assert rows(A.roll_up_clients(A.hourly_per_client_agg(df))) == [("2019-01-01 2", 1, 2, 2, 0, 0)]
+    assert rows(A.hourly_distinct_clients(df)) == [("2019-01-01 2", 1, 2, 2, 2, 2)]
+    assert rows(A.count_clients(A.hourly_per_client_agg(df))) == [("2019-01-01 2", 1, 2, 2, 2, 2)]
+
+
+@pytest.mark.parametrize("columns", [None, DEDUP_KEYS])
+def test_dedup_keeps_the_lowest_id(spark, columns):
+    raw = extract_columns(frame(spark, MIXED + MIXED, partitions=6))
+    if columns:
+        raw = raw.select("id", *columns)
+    kept = dedup_requests(raw)
+    assert kept.columns == raw.columns
+    assert sorted(r.id for r in kept.collect()) == [0, 1, 2, 4, 5]
+    assert rows(kept) == rows(raw.where("id in (0, 1, 2, 4, 5)"))
+
+
+def test_dedup_with_one_hot_key(spark):
+    lines = spark.range(0, 60_000, 1, 12).selectExpr(
+        "id", "case when id % 3 = 0 then 'garbage' else concat('h', id, ' x') end value"
+    )
+    kept = dedup_requests(extract_columns(lines))
+    assert kept.count() == 40_001
+    assert kept.where("clientip = 'garbage'").first().id == 0
+
+
+def test_narrow_layers_give_the_same_counts(spark):
+    lines = frame(spark, MIXED + SEED)
+    for profile in (LOOSE, DISTINCT):
+        whole, narrow = curate(lines, profile), curate(lines, profile, DEDUP_KEYS)
+        assert narrow.columns == ["id", *DEDUP_KEYS]
+        for agg in (A.hourly_across_agg, A.hourly_per_client_agg, A.hourly_distinct_clients, A.per_client_agg):
+            assert rows(agg(whole)) == rows(agg(narrow))
+
+
+def test_aggregate_layers(spark):
+    curated = curate(frame(spark, MIXED), TYPED)
+    plain, cached = aggregate_layers(curated), aggregate_layers(curated, cache=True)
+    for name, df in cached.items():
+        assert df.storageLevel.useMemory
+        assert rows(df) == rows(plain[name])
+        df.unpersist()
+
+
+def test_row_count(spark):
+    assert rows(A.row_count(frame(spark, MIXED))) == [(7,)]
+
+
+def test_same_result_for_any_partitioning(spark):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    results = []
+    try:
+        for partitions, ansi in [(1, "true"), (4, "true"), (16, "true"), (4, "false")]:
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            lines = frame(spark, (MIXED + SEED) * 3, partitions)
+            results.append(
+                {
+                    (profile.name, name): rows(df)
+                    for profile in (LOOSE, DISTINCT, TYPED)
+                    for name, df in aggregate_layers(curate(lines, profile)).items()
+                }
+            )
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert all(result == results[0] for result in results)

@@ -1,0 +1,83 @@
+"""What the plans must look like to hold at scale."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as contract
+from logquarry.operators.aggregate import hourly_across_agg, hourly_distinct_clients, per_device_agg
+from logquarry.operators.dedup import dedup_requests
+from logquarry.operators.extraction import extract_columns
+from logquarry.plans.layers import curate
+from logquarry.plans.profiles import DISTINCT, LOOSE, TYPED
+from logquarry.schema import DEDUP_KEYS
+from logquarry.sources.readers import read_log_lines, read_layer_parquet
+from tests.lines import ALL, frame
+
+SF_DIR = "/root/testdata/sf0.001"
+WRITES_FIRST = {
+    "read_lines", "numbered_lines", "layers_published", "layer_csv", "layer_parquet", "table_default",
+    "table_orc", "catalog_tables", "connector", "append_text", "messages",
+}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def log(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("log") / "lines")
+    frame(spark, ALL).select("value").write.text(path)
+    return read_log_lines(spark, path)
+
+
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WRITES_FIRST))
+def test_no_query_leaves_the_jvm_or_pairs_rows(spark, name):
+    text = plan(contract.queries()[name](spark, SF_DIR))
+    for bad in ("Cartesian", "NestedLoop", "Python", "Pandas", "Arrow", "CollectLimit", "Sample"):
+        assert bad not in text, bad
+
+
+def test_flagship_is_two_hash_aggregates(log):
+    text = plan(hourly_across_agg(curate(log, DISTINCT, DEDUP_KEYS)))
+    assert text.count("Exchange") == 2
+    assert "SortAggregate" not in text and "Window" not in text
+    # Map-side partial and final, twice.
+    assert text.count("HashAggregate") == 4
+
+
+def test_unread_patterns_are_not_evaluated(log):
+    text = plan(hourly_across_agg(curate(log, LOOSE)))
+    evaluated = set(re.findall(r"AS (\w+)#", text))
+    assert not evaluated & {"request", "size", "referer", "user_agent", "status_code"}
+    assert text.count("Exchange") == 1
+
+
+def test_dedup_reduces_before_the_shuffle(log):
+    text = plan(dedup_requests(extract_columns(log)))
+    assert text.count("Exchange") == 1
+    below_shuffle = text.split("Exchange")[1]
+    assert "WindowGroupLimit" in below_shuffle and "Partial" in below_shuffle
+
+
+def test_distinct_clients_reduce_before_both_shuffles(log):
+    text = plan(hourly_distinct_clients(curate(log, LOOSE)))
+    assert text.count("Exchange") == 2
+    assert text.count("HashAggregate") == 4
+
+
+def test_per_device_reads_four_columns_of_a_stored_layer(spark, tmp_path):
+    path = str(tmp_path / "curated")
+    curate(frame(spark, ALL), TYPED).write.parquet(path)
+    text = plan(per_device_agg(read_layer_parquet(spark, path)))
+    schema = re.search(r"ReadSchema: struct<([^>]*)>", text)[1]
+    assert {f.split(":")[0] for f in schema.split(",")} == {
+        "clientip", "datetime_confirmed", "method_GET", "user_agent",
+    }
+
+
+def test_entry(spark):
+    df = contract.entry(spark)
+    assert df.columns == ["day_hour", "no_of_clients", "count_row", "get", "post", "head"]
+    assert df.count() > 0
