@@ -9,6 +9,7 @@ from logquarry.sources.readers import (
     read_layer_parquet,
     read_log_lines,
     read_numbered_lines,
+    spread_rows,
 )
 
 __all__ = [
@@ -28,6 +29,7 @@ __all__ = [
     "read_log_lines",
     "read_numbered_lines",
     "scratch_folder",
+    "spread_rows",
     "to_cleansed",
     "to_curated",
     "to_raw",

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logquarry.sources.readers import spread_rows
+
 # {k}: the number in props. {time}: the log time. {str}: the engine's string type.
 LINE_SQL = """
 CASE k WHEN 0 THEN 'garbage' WHEN 1 THEN '' ELSE
@@ -37,7 +39,11 @@ def event_lines(spark: SparkSession, sf_dir: str, on_the_hour: bool = False) ->
     """``id`` and ``value`` for every event; ``on_the_hour`` makes repeated requests common."""
     clock = "HH:00:00" if on_the_hour else "HH:mm:ss"
     line = LINE_SQL.format(time=f"date_format(ts, 'dd/MMM/yyyy:{clock}')", str="STRING")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread_rows(
+        spark.read.parquet(f"{sf_dir}/events.parquet").select(
+            "event_id", "ts", "user_id", "event_type", "props"
+        )
+    )
     return events.withColumn("k", F.regexp_extract("props", "[0-9]+", 0).cast("int")).select(
         F.col("event_id").alias("id"), F.expr(line).alias("value")
     )

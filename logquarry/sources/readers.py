@@ -12,14 +12,32 @@ def read_log_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+def spread_rows(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows out over ``partitions`` tasks (default: the cores) if the source has few.
+
+    Parsing is bound by CPU, and a gzip log or a file of one row group is a single task.
+    A source with at least a quarter as many tasks as asked for stays as it is: moving a
+    large log costs more than the idle cores.
+    """
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 4 > wanted:
+        return df
+    return df.repartition(wanted)
+
+
+# Offsets of this many splits, one row of a path and three numbers each, are about 10 MB.
+_BROADCAST_SPLITS = 50_000
+
+
 def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines with ``line_no``: 0, 1, 2, … in file order, for the seed generators.
 
     A line's number is its place in its input split plus the lines of the splits before
-    it. The running total is over one row per split; whether those rows are broadcast is
-    left to Spark, which knows their size.
+    it. The running total is over one row per split. Those rows are broadcast while there
+    are few enough; with more of them the join is Spark's choice.
     """
-    lines = spark.read.text(path).select(
+    text = spark.read.text(path)
+    lines = text.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -29,8 +47,13 @@ def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
     splits = (
         lines.groupBy("file", "start")
         .agg(F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n"))
-        .select("file", "start", "first_place", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+        .select(
+            "file", "start", "first_place", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
+        )
     )
+    # A task reads parts of several files or of one, so this is the most there can be.
+    if text.rdd.getNumPartitions() + len(text.inputFiles()) <= _BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
     number = F.col("offset") + F.col("place") - F.col("first_place")
     return lines.join(splits, ["file", "start"]).select(number.alias("line_no"), "value")
 

@@ -5,13 +5,20 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from logquarry.operators.aggregate import hourly_across_agg, hourly_distinct_clients, per_device_agg
+from logquarry.operators.aggregate import (
+    across_clients_first_hour,
+    across_device_totals,
+    hourly_across_agg,
+    hourly_distinct_clients,
+    per_client_agg,
+    per_device_agg,
+)
 from logquarry.operators.dedup import dedup_requests
 from logquarry.operators.extraction import extract_columns
 from logquarry.plans.layers import curate
 from logquarry.plans.profiles import DISTINCT, LOOSE, TYPED
 from logquarry.schema import DEDUP_KEYS
-from logquarry.sources.readers import read_log_lines, read_layer_parquet
+from logquarry.sources.readers import read_layer_parquet, read_log_lines, read_numbered_lines, spread_rows
 from tests.lines import ALL, frame
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -67,6 +74,26 @@ def test_distinct_clients_reduce_before_both_shuffles(log):
     assert text.count("HashAggregate") == 4
 
 
+@pytest.mark.parametrize("agg", [per_client_agg, across_clients_first_hour, across_device_totals, per_device_agg])
+def test_totals_hash_and_combine_before_the_shuffle(log, agg):
+    text = plan(agg(curate(log, TYPED)))
+    assert "SortAggregate" not in text
+    assert "HashAggregate" in text.split("Exchange")[-1]
+
+
+def test_numbered_lines_do_not_shuffle_the_log(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    frame(spark, ALL).select("value").write.text(path)
+    text = plan(read_numbered_lines(spark, path))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_spread_rows_only_where_tasks_are_few(spark):
+    few, enough = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 4)
+    assert spread_rows(few, 8).rdd.getNumPartitions() == 8
+    assert spread_rows(enough, 8) is enough
+
+
 def test_per_device_reads_four_columns_of_a_stored_layer(spark, tmp_path):
     path = str(tmp_path / "curated")
     curate(frame(spark, ALL), TYPED).write.parquet(path)
