@@ -278,7 +278,7 @@ ORACLES = {
     "markers_hours": _layer_query(
         "loose",
         f"SELECT id, datetime_confirmed, method_GET, {_MARKERS}, "
-        "CAST(datetime_confirmed AS DATE) AS day, CAST(hour(datetime_confirmed) AS INTEGER) AS hour, "
+        "strftime(datetime_confirmed, '%Y-%m-%d') AS day, CAST(hour(datetime_confirmed) AS INTEGER) AS hour, "
         f"{_DAY_HOUR} AS day_hour FROM curated",
     ),
     "curated_columns": _layer_query("loose", f"SELECT id, clientip, {_MARKERS} FROM curated"),

@@ -176,11 +176,9 @@ def referer_flag(spark, sf_dir):
 
 
 def markers_hours(spark, sf_dir):
-    return cleaning.request_times(
-        cleaning.method_markers(
-            curate(event_lines(spark, sf_dir), LOOSE).select("id", "datetime_confirmed", "method_GET")
-        )
-    )
+    requests = curate(event_lines(spark, sf_dir), LOOSE, DEDUP_KEYS).drop("clientip")
+    times = cleaning.request_times(cleaning.method_markers(requests))
+    return times.withColumn("day", F.col("day").cast("string"))
 
 
 def curated_columns(spark, sf_dir):
