@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from logquarry.functions import clean
 from logquarry.functions.patterns import METHODS, MISSING
-from logquarry.schema import REFERER_PRESENT
+from logquarry.schema import COLUMN_TYPES, REFERER_PRESENT
 
 
 def _map_strings(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
@@ -57,17 +57,13 @@ def null_profile(df: DataFrame) -> DataFrame:
     return df.agg(*counts)
 
 
-def type_columns(df: DataFrame) -> DataFrame:
-    """Status to int and size to bigint, NULL where the text is no number.
+def type_columns(df: DataFrame, types: dict[str, str] = COLUMN_TYPES) -> DataFrame:
+    """Cast the columns of ``types`` that the frame has; NULL where the text does not fit.
 
-    Both are wide enough for what servers log; ``id`` stays bigint because its upper
-    half holds the partition number.
+    ``id`` is not among them: its upper half holds the partition number, so it stays bigint.
     """
     return df.withColumns(
-        {
-            "status_code": F.col("status_code").try_cast("int"),
-            "size": F.col("size").try_cast("bigint"),
-        }
+        {name: F.col(name).try_cast(dtype) for name, dtype in types.items() if name in df.columns}
     )
 
 

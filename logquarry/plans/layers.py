@@ -9,16 +9,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from logquarry.functions.clean import first_token, parse_timestamp, size_to_kb
 from logquarry.functions.patterns import TIME_FORMAT
 from logquarry.operators import aggregate
-from logquarry.operators.cleaning import blank_to_null, drop_referer, fill_na, referer_flag
+from logquarry.operators.cleaning import blank_to_null, drop_referer, fill_na, referer_flag, type_columns
 from logquarry.operators.dedup import dedup_requests
 from logquarry.operators.extraction import extract_columns
 from logquarry.plans.profiles import LOOSE, LogProfile
-from logquarry.schema import EXTRACTED_COLUMNS
+from logquarry.schema import COLUMN_TYPES, DEDUP_KEYS, EXTRACTED_COLUMNS
 
 
 def to_raw(
@@ -29,9 +28,13 @@ def to_raw(
     With fewer ``columns`` the later layers stay as narrow. Counting requests takes
     ``DEDUP_KEYS`` only, and removing duplicates among those alone is cheaper.
     """
-    raw = extract_columns(lines, profile.family, columns)
+    keys = DEDUP_KEYS if profile.dedup else []
+    raw = extract_columns(
+        lines, profile.family, [c for c in EXTRACTED_COLUMNS if c in columns or c in keys]
+    )
     if profile.dedup:
         raw = dedup_requests(raw)
+    raw = raw.select("id", *columns)
     if profile.strip and "request" in columns:
         raw = raw.withColumn("request", profile.strip("request"))
     if profile.kb_digits is not None and "size" in columns:
@@ -49,13 +52,14 @@ def to_cleansed(
     """
     if profile.blanks_null:
         raw = blank_to_null(raw)
-    cleansed = raw.withColumn(
-        "datetime_confirmed", parse_timestamp(first_token("datetime_confirmed"), time_format)
-    )
-    if "status_code" in raw.columns:
-        cleansed = cleansed.withColumn("status_code", F.col("status_code").try_cast("int"))
-    if "size" in raw.columns and profile.kb_digits is None:
-        cleansed = cleansed.withColumn("size", F.col("size").try_cast("bigint"))
+    cleansed = raw
+    if "datetime_confirmed" in raw.columns:
+        time = parse_timestamp(first_token("datetime_confirmed"), time_format)
+        cleansed = raw.withColumn("datetime_confirmed", time)
+    types = dict(COLUMN_TYPES)
+    if profile.kb_digits is not None:
+        del types["size"]  # KB are numbers already.
+    cleansed = type_columns(cleansed, types)
     if profile.fill:
         cleansed = fill_na(cleansed)
     return referer_flag(cleansed) if "referer" in raw.columns else cleansed

@@ -49,6 +49,8 @@ CURATED_SCHEMA = StructType([f for f in CLEANSED_SCHEMA.fields if f.name != "ref
 RAW_COLUMNS = RAW_SCHEMA.names
 EXTRACTED_COLUMNS = RAW_COLUMNS[1:]
 DEDUP_KEYS = ["clientip", "datetime_confirmed", "method_GET"]
+# Extracted text to numbers; a response can be larger than an int holds.
+COLUMN_TYPES = {"status_code": "int", "size": "bigint"}
 WAREHOUSE_COLUMNS = [
     "id",
     "clientip",

@@ -7,7 +7,7 @@ from logquarry.operators.dedup import dedup_requests
 from logquarry.operators.extraction import extract_columns
 from logquarry.plans.layers import aggregate_layers, curate
 from logquarry.plans.profiles import DISTINCT, LOOSE, TYPED
-from logquarry.schema import DEDUP_KEYS
+from logquarry.schema import DEDUP_KEYS, EXTRACTED_COLUMNS
 from tests.lines import frame
 
 
@@ -38,6 +38,18 @@ def test_totals_of_the_seed(spark):
     assert rows(totals) == [(304, 11, 4, 957, 319, 0)]
 
 
+@pytest.mark.parametrize(
+    "hour,get,post,head", [("2019-01-28 3", 33, 2, 0), ("2019-01-22 3", 1979, 147, 4)]
+)
+def test_known_hours(spark, hour, get, post, head):
+    time = f"{hour[8:10]}/Jan/2019:03:59:59"
+    lines = get * [line(time=time)] + post * [line(time=time, method="POST")]
+    lines += head * [line(time=time, method="HEAD")]
+    total = get + post + head
+    got = A.hourly_across_agg(curate(frame(spark, lines), LOOSE))
+    assert rows(got) == [(hour, total, total, get, post, head)]
+
+
 def test_per_device(spark):
     got = A.per_device_agg(curate(frame(spark, MIXED), TYPED))
     assert got.columns == ["device", "get", "post", "head", "hour", "no_of_client"]
@@ -138,6 +150,17 @@ def test_narrow_layers_give_the_same_counts(spark):
             assert rows(agg(whole)) == rows(agg(narrow))
 
 
+def test_any_columns_can_be_left_out(spark):
+    lines = frame(spark, MIXED)
+    for profile in (LOOSE, DISTINCT, TYPED):
+        whole = curate(lines, profile)
+        for name in EXTRACTED_COLUMNS:
+            if name != "referer":
+                narrow = curate(lines, profile, [name])
+                assert narrow.columns == ["id", name]
+                assert rows(narrow) == rows(whole.select("id", name))
+
+
 def test_aggregate_layers(spark):
     curated = curate(frame(spark, MIXED), TYPED)
     plain, cached = aggregate_layers(curated), aggregate_layers(curated, cache=True)
