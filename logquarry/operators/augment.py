@@ -20,19 +20,18 @@ _PART_NAMES = ["head", "octet", "middle", "day", "month", "hour", "rest"]
 def replicate_log(lines: DataFrame, passes: int, partitions: int | None = None) -> DataFrame:
     """Every line ``passes`` times, with its 0-based ``pass_no`` in front.
 
-    By default each task expands its own lines, which suits a log that is already spread
-    out. A small seed sits in one task: ``partitions`` then deals out (line, block of
-    passes) pairs, about sqrt(passes) per line, before the blocks are expanded.
+    A line becomes about sqrt(passes) blocks and each block as many copies, so no array
+    of all passes is ever held. By default a task expands its own lines, which suits a
+    log that is already spread out. A small seed sits in one task: ``partitions`` deals
+    out its blocks before they are expanded.
     """
     if passes < 1:
         return lines.select(F.lit(0).cast("bigint").alias("pass_no"), *lines.columns).where(F.lit(False))
-    if partitions is None:
-        return lines.select(_sequence(F.lit(0), F.lit(passes)).alias("pass_no"), *lines.columns)
     stride = isqrt(passes - 1) + 1
     blocks = -(-passes // stride)
-    dealt = lines.select(
-        _sequence(F.lit(0), F.lit(blocks)).alias("block_no"), *lines.columns
-    ).repartition(partitions)
+    dealt = lines.select(_sequence(F.lit(0), F.lit(blocks)).alias("block_no"), *lines.columns)
+    if partitions is not None:
+        dealt = dealt.repartition(partitions)
     start = F.col("block_no") * stride
     end = F.least(start + stride, F.lit(passes).cast("bigint"))
     return dealt.select(_sequence(start, end).alias("pass_no"), *lines.columns)
