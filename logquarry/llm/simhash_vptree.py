@@ -52,16 +52,22 @@ def simhash(text: bytes | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` for every row; null and blank texts have the fingerprint 0."""
+    """``(doc_id, text_hash, fp)`` for every row; null and blank texts have the fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(2).cast(pa.binary())
             prints = pa.array([simhash(t.as_py()) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["doc_id", "fp"])
-
-    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return kept.mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), prints], ["doc_id", "text_hash", "fp"]
+            )
+
+    kept = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(text_col).alias("text_hash"),
+        F.col(text_col).alias("text"),
+    )
+    return kept.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def _block(prints: np.ndarray, tree: int) -> np.ndarray:
@@ -192,11 +198,12 @@ def similar_fingerprints(distinct: DataFrame, total: int, radius: int = RADIUS)
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS
 ) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row.
+    """``(doc_id, text_hash, fp, root, component_id)`` for every row.
 
-    ``component_id`` is the smallest id that can be reached over links. Equal fingerprints
-    are linked; so are all texts without words, nulls included (fingerprint 0). Rows that
-    repeat an id are documents of their own with that id. An empty table gives no rows.
+    ``component_id`` is the smallest id that can be reached over links, ``root`` the smallest
+    fingerprint. Equal fingerprints are linked; so are all texts without words, nulls included
+    (fingerprint 0). Rows that repeat an id are documents of their own with that id; a null
+    id is never the smallest. An empty table gives no rows.
     """
     prints = stored(fingerprints(docs, id_col, text_col), "prints")
     distinct = stored(
@@ -212,7 +219,27 @@ def near_duplicates(
         F.min("first").alias("component_id"), F.count(F.lit(1)).alias("size")
     )
     known = attach(linked, groups, ["root"], total, n="size")
-    return attach(prints, known.select("fp", "component_id", "n"), ["fp"], rows)
+    return attach(prints, known.select("fp", "root", "component_id", "n"), ["fp"], rows)
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row with the smallest id of each group of near duplicates, with all its columns.
+
+    Of rows that repeat this id, the one with the smallest hash of its text stays; of rows
+    that repeat the text as well, any one. A null id counts as the largest.
+    """
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("key_")
+    found = near_duplicates(docs, id_col, text_col).withColumnRenamed("doc_id", "id_")
+    order = F.struct(F.coalesce("id_", F.lit((1 << 63) - 1)).alias("key_"), F.col("text_hash").alias("hash_"))
+    first = found.groupBy("root").agg(F.min(order).alias("first")).select("first.*")
+    packed = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+        key,
+        F.xxhash64(text_col).alias("hash_"),
+    )
+    # Joined and reduced on the same keys: texts move once.
+    kept = packed.join(first, ["key_", "hash_"], "left_semi")
+    return kept.dropDuplicates(["key_", "hash_"]).select("row.*")
 
 
 def op1_simhash_vptree(spark, sf_dir: str) -> DataFrame:
