@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -29,38 +32,45 @@ def object_store_conf(
     endpoint: str | None = None,
     access_key: str | None = None,
     secret_key: str | None = None,
+    session_token: str | None = None,
+    provider: str | None = None,
 ) -> dict[str, str]:
     """Settings for ``s3a://`` paths, to be passed to :func:`build_session`.
 
-    Without keys the provider chain decides, which is how a cluster should run.
+    Only what is given is set. Without keys or a ``provider`` (a class name, or several with
+    commas) the connector's own chain decides, which is how a cluster should run.
     """
-    fixed = {
-        "com.amazonaws.services.s3.enableV4": "true",
-        "fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
-        "fs.AbstractFileSystem.s3a.impl": "org.apache.hadoop.fs.s3a.S3A",
-    }
+    if bool(access_key) != bool(secret_key):
+        raise ValueError("an access key and a secret key go together")
+    if session_token and not access_key:
+        raise ValueError("a session token needs its keys")
     given = {
-        "fs.s3a.endpoint": endpoint,
-        "fs.s3a.access.key": access_key,
-        "fs.s3a.secret.key": secret_key,
+        "endpoint": endpoint,
+        "access.key": access_key,
+        "secret.key": secret_key,
+        "session.token": session_token,
+        "aws.credentials.provider": provider,
     }
-    if not (access_key and secret_key):
-        given["fs.s3a.aws.credentials.provider"] = (
-            "com.amazonaws.auth.InstanceProfileCredentialsProvider,"
-            "com.amazonaws.auth.DefaultAWSCredentialsProviderChain"
-        )
-    settings = fixed | {k: v for k, v in given.items() if v}
-    return {f"spark.hadoop.{k}": v for k, v in settings.items()}
+    return {f"spark.hadoop.fs.s3a.{k}": v for k, v in given.items() if v}
+
+
+@cache
+def _local_folder() -> str:
+    """One folder for all scratch data of this process, removed when it ends."""
+    base = tempfile.mkdtemp(prefix="logquarry-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder name in the shared folder that ``spark.checkpoint.dir`` names.
 
-    Only a local master, where driver and executors share one disk, may do without it.
+    Only a local master, where driver and executors share one disk, may do without it. What
+    is below the shared folder belongs to whoever names it, who also clears it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="logquarry-")
+        base = _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid4().hex}"
