@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 # The pieces of a line that can be varied: client up to its last octet, that octet, the
 # two fields after it, day, month and year, hour, and the rest.
-_PARTS = r"^( *(?:[^ ]*\.)?)(\d{1,18})( [^ ]* [^ ]* \[)(\d{2})(/[^ :]*:)(\d{2})([\s\S]*)$"
+_PARTS = r"^( *(?:[^ ]*\.)?)(\d+)( [^ ]* [^ ]* \[)(\d{2})(/[^ :]*:)(\d{2})([\s\S]*)$"
 _PART_NAMES = ["head", "octet", "middle", "day", "month", "hour", "rest"]
 
 
@@ -50,14 +50,17 @@ def perturb_every_nth(
     """Vary lines by their place in the seed (``line_no``, 0-based).
 
     Every tenth line: last client octet and hour go up by ``step``. Every ninth: its
-    first ``GET`` becomes ``POST``. Only hours 00 to 09 move, so none passes midnight.
+    first ``GET`` becomes ``POST``. Only hours 00 to 09 move, so with a step from 0 to 14
+    none passes midnight; other steps are refused.
     """
+    if not 0 <= step <= 14:
+        raise ValueError(f"step is {step}, not from 0 to 14")
     nth = F.col("line_no") + 1
     hour = F.col("hour").cast("int")
     return _vary(
         lines,
         touched=nth % shift_every == 0,
-        octet=F.col("octet").cast("bigint") + step,
+        octet=_add(F.col("octet"), F.lit(step)),
         day=F.col("day"),
         hour=F.when(hour < 10, _two_digits(hour + step)).otherwise(F.col("hour")),
         to_post=nth % post_every == 0,
@@ -77,7 +80,7 @@ def ramp_seed_lines(lines: DataFrame, passes: int, partitions: int | None = None
     return _vary(
         replicate_log(lines, passes, partitions),
         touched=first_ten,
-        octet=F.col("octet").cast("bigint") + k,
+        octet=_add(F.col("octet"), k),
         day=F.when(day >= 10, _two_digits(F.least(day + k, F.lit(31)))).otherwise(F.col("day")),
         hour=_two_digits(F.least(F.col("hour").cast("int") + k, F.lit(23))),
         to_post=first_ten & (k >= 1),
@@ -94,7 +97,7 @@ def _vary(
         name: F.when(fits, F.regexp_extract("value", _PARTS, i))
         for i, name in enumerate(_PART_NAMES, 1)
     }
-    varied = F.concat("head", octet.cast("string"), "middle", day, "month", hour, "rest")
+    varied = F.concat("head", octet, "middle", day, "month", hour, "rest")
     return (
         lines.withColumns(pieces)
         .withColumn("value", F.coalesce(varied, "value"))
@@ -104,7 +107,31 @@ def _vary(
 
 
 def _two_digits(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 2, "0")
+    """Numbers below 10 get a zero; nothing is ever cut."""
+    text = number.cast("string")
+    return F.when(number.between(0, 9), F.concat(F.lit("0"), text)).otherwise(text)
+
+
+_TAIL = 17  # Digits that are added as a number.
+
+
+def _add(digits: Column, number: Column) -> Column:
+    """``digits`` plus ``number`` (below 10 ** _TAIL, not negative) as text, however long it is."""
+    long = F.char_length(digits) > _TAIL
+    tail = F.when(long, F.right(digits, F.lit(_TAIL))).otherwise(digits).cast("bigint") + number
+    head = F.left(digits, F.char_length(digits) - _TAIL)
+    carried = tail >= 10**_TAIL
+    # One more at the end of the head: its last nines become noughts.
+    nines = F.char_length(F.regexp_extract(head, "9*$", 0))
+    kept = F.left(head, F.char_length(head) - nines - 1)
+    turned = F.coalesce(F.substr(head, F.char_length(head) - nines, F.lit(1)).try_cast("int"), F.lit(0)) + 1
+    all_nines = nines == F.char_length(head)
+    raised = F.concat(
+        F.when(all_nines, F.lit("1")).otherwise(F.concat(kept, turned.cast("string"))), F.repeat(F.lit("0"), nines)
+    )
+    low = F.lpad((tail % 10**_TAIL).cast("string"), _TAIL, "0")
+    joined = F.concat(F.when(carried, raised).otherwise(head), low)
+    return F.when(long, F.regexp_replace(joined, "^0+(?=.)", "")).otherwise(tail.cast("string"))
 
 
 def first_get_to_post(line: Column | str) -> Column:
@@ -128,5 +155,5 @@ def measure_passes(seed: DataFrame, lakhs: int) -> DataFrame:
     """One row, ``seed_rows`` and ``passes``: :func:`passes_for` over a seed's own size."""
     return seed.agg(F.count(F.lit(1)).alias("seed_rows")).select(
         "seed_rows",
-        F.floor(F.lit(lakhs * 100_000) / F.nullif(F.col("seed_rows"), F.lit(0))).alias("passes"),
+        F.expr(f"{lakhs * 100_000}L div nullif(seed_rows, 0L)").alias("passes"),
     )

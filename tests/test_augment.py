@@ -66,6 +66,31 @@ def test_perturb_every_nth(spark):
     assert text(G.perturb_every_nth(numbered(spark, lines))) == want
 
 
+@pytest.mark.parametrize("step", [0, 3, 14])
+def test_steps_keep_lines_legal(spark, step):
+    lines = [""] * 9 + [line("1.1.1.9", "22/Jan/2019:09:09:09")]
+    got = text(G.perturb_every_nth(numbered(spark, lines), step))[-1]
+    assert got == line(f"1.1.1.{9 + step}", f"22/Jan/2019:{9 + step:02}:09:09")
+
+
+@pytest.mark.parametrize("step", [-5, 15, 20, 95])
+def test_other_steps_are_refused(spark, step):
+    with pytest.raises(ValueError, match="step"):
+        G.perturb_every_nth(numbered(spark, LINES), step)
+
+
+def test_octets_of_any_length(spark):
+    octets = [
+        "0", "7", "007", "9" * 16, "9" * 17, "9" * 18, "9" * 19, "9" * 40, "1" + "0" * 30, "12" + "9" * 25,
+        "0" * 20, "0" * 20 + "5", "3" * 500, "5" + "9" * 17, "10" + "9" * 17,
+    ]
+    rows = [(9, line(f"1.2.3.{o}", "22/Jan/2019:15:09:09")) for o in octets]
+    df = spark.createDataFrame(rows, "line_no bigint, value string")
+    for step in (0, 1, 14):
+        got = [r.value.split(" ")[0].split(".")[-1] for r in G.perturb_every_nth(df, step).collect()]
+        assert got == [str(int(o) + step) for o in octets]
+
+
 def test_nine_becomes_ten(spark):
     lines = [""] * 9 + [line("1.1.1.1", "22/Jan/2019:09:09:09")]
     got = text(G.perturb_every_nth(numbered(spark, lines)))[-1]
