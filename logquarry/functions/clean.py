@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from logquarry.functions.patterns import MISSING, REQUEST_CHARS, REQUEST_TOKENS, TIME_FORMAT
 
-_WHITESPACE = " \t\n\x0b\f\r"
+#: Blanks and control characters, what plain CSV readers trim.
+_WHITESPACE = "".join(map(chr, range(0x21)))
 
 
 def _col(c: Column | str) -> Column:
@@ -71,7 +72,7 @@ def empty_na(text: Column | str) -> Column:
 
 
 def blank_null(text: Column | str) -> Column:
-    """Trim, then NULL if nothing is left: what a CSV write and read does to a string."""
+    """Trim blanks and control characters, then NULL if nothing is left."""
     return F.nullif(F.trim(_col(text), F.lit(_WHITESPACE)), F.lit(""))
 
 

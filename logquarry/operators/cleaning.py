@@ -14,10 +14,11 @@ from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from logquarry.functions import clean
 from logquarry.functions.patterns import METHODS, MISSING
-from logquarry.schema import COLUMN_TYPES, REFERER_PRESENT
+from logquarry.schema import COLUMN_TYPES, REFERER_PRESENT, WAREHOUSE_COLUMNS
 
 
-def _map_strings(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+def map_strings(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    """``df`` with ``change`` applied to every string column."""
     return df.select(
         [
             change(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)
@@ -28,17 +29,17 @@ def _map_strings(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame
 
 def dash_to_null(df: DataFrame) -> DataFrame:
     """``-`` becomes NULL in every string column."""
-    return _map_strings(df, clean.dash_null)
+    return map_strings(df, clean.dash_null)
 
 
 def empty_to_na(df: DataFrame) -> DataFrame:
     """``''`` becomes ``NA`` in every string column."""
-    return _map_strings(df, clean.empty_na)
+    return map_strings(df, clean.empty_na)
 
 
 def blank_to_null(df: DataFrame) -> DataFrame:
-    """Trim every string column and make blanks NULL, as a trip through CSV files does."""
-    return _map_strings(df, clean.blank_null)
+    """Trim every string column of blanks and control characters; NULL if nothing is left."""
+    return map_strings(df, clean.blank_null)
 
 
 def fill_na(df: DataFrame) -> DataFrame:
@@ -101,13 +102,4 @@ def curated_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def warehouse_projection(curated: DataFrame) -> DataFrame:
     """The columns a warehouse table gets; the flag loses its ``(Y/N)``."""
-    return curated.select(
-        "id",
-        "clientip",
-        "datetime_confirmed",
-        "method_GET",
-        "status_code",
-        "size",
-        "user_agent",
-        F.col(REFERER_PRESENT).alias("referer_present"),
-    )
+    return curated.withColumnRenamed(REFERER_PRESENT, "referer_present").select(*WAREHOUSE_COLUMNS)

@@ -36,13 +36,17 @@ CASE k WHEN 0 THEN 'garbage' WHEN 1 THEN '' ELSE
 
 
 def event_lines(spark: SparkSession, sf_dir: str, on_the_hour: bool = False) -> DataFrame:
-    """``id`` and ``value`` for every event; ``on_the_hour`` makes repeated requests common."""
+    """``id`` and ``value`` for every event; ``on_the_hour`` makes repeated requests common.
+
+    The table can be one row group, so its narrow rows are dealt out over the cores first.
+    """
     clock = "HH:00:00" if on_the_hour else "HH:mm:ss"
     line = LINE_SQL.format(time=f"date_format(ts, 'dd/MMM/yyyy:{clock}')", str="STRING")
     events = spread_rows(
         spark.read.parquet(f"{sf_dir}/events.parquet").select(
             "event_id", "ts", "user_id", "event_type", "props"
-        )
+        ),
+        spark.sparkContext.defaultParallelism,
     )
     return events.withColumn("k", F.regexp_extract("props", "[0-9]+", 0).cast("int")).select(
         F.col("event_id").alias("id"), F.expr(line).alias("value")

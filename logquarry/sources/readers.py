@@ -6,67 +6,83 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from logquarry.operators.cleaning import map_strings
+from logquarry.sources.csv_text import CSV_OPTIONS, unmarked
+
 
 def read_log_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per line in ``value``; local, HDFS or object-store paths."""
     return spark.read.text(path)
 
 
-def spread_rows(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Deal rows out over ``partitions`` tasks (default: the cores) if the source has few.
+def spread_rows(df: DataFrame, partitions: int) -> DataFrame:
+    """Deal rows out evenly over ``partitions`` tasks, by a shuffle.
 
-    Parsing is bound by CPU, and a gzip log or a file of one row group is a single task.
-    A source with at least a quarter as many tasks as asked for stays as it is: moving a
-    large log costs more than the idle cores.
+    For a source that comes as few tasks, such as a gzip log, ahead of work bound by CPU.
     """
-    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 4 > wanted:
-        return df
-    return df.repartition(wanted)
+    return df.repartition(partitions)
 
 
-# Offsets of this many splits, one row of a path and three numbers each, are about 10 MB.
-_BROADCAST_SPLITS = 50_000
+#: Splits of one log that can be numbered; their offsets, 24 bytes each, are broadcast.
+MAX_SPLITS = 4_000_000
 
 
 def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines with ``line_no``: 0, 1, 2, … in file order, for the seed generators.
 
-    A line's number is its place in its input split plus the lines of the splits before
-    it. The running total is over one row per split. Those rows are broadcast while there
-    are few enough; with more of them the join is Spark's choice.
+    A line's number is its place in its input split plus the lines before that split, summed
+    up within its file and then over files. Splits are known by a 64-bit hash; two with one
+    hash, or more than MAX_SPLITS, end the query with an error. The log itself never moves.
     """
-    text = spark.read.text(path)
-    lines = text.select(
+    lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("place"),
     )
-    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = (
-        lines.groupBy("file", "start")
-        .agg(F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n"))
+    split = F.xxhash64("file", "start").alias("split")
+    splits = lines.groupBy("file", "start").agg(
+        F.min("place").alias("first"), F.count(F.lit(1)).alias("n")
+    )
+    in_file = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per file.
+    over_files = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    up_to = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, 0)
+    files = (
+        splits.groupBy("file")
+        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("splits"))
         .select(
-            "file", "start", "first_place", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
+            "file",
+            F.coalesce(F.sum("n").over(over_files), F.lit(0)).alias("before"),
+            F.sum("splits").over(up_to).alias("splits"),
+        )
+    )
+    offset = F.col("before") + F.coalesce(F.sum("n").over(in_file), F.lit(0)) - F.col("first")
+    offsets = (
+        splits.join(files, "file")
+        .select(split, "splits", offset.alias("offset"))
+        .groupBy("split")
+        .agg(
+            F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("two splits with one hash")))
+            .when(F.max("splits") > MAX_SPLITS, F.raise_error(F.lit(f"more than {MAX_SPLITS} splits")))
+            .otherwise(F.max("offset"))
+            .cast("bigint")
+            .alias("offset")
         )
     )
-    # A task reads parts of several files or of one, so this is the most there can be.
-    if text.rdd.getNumPartitions() + len(text.inputFiles()) <= _BROADCAST_SPLITS:
-        splits = F.broadcast(splits)
-    number = F.col("offset") + F.col("place") - F.col("first_place")
-    return lines.join(splits, ["file", "start"]).select(number.alias("line_no"), "value")
+    numbered = lines.select("value", "place", split).join(F.broadcast(offsets), "split")
+    return numbered.select((F.col("offset") + F.col("place")).alias("line_no"), "value")
 
 
 def read_layer_csv(
     spark: SparkSession, path: str, schema: StructType | None = None, **options
 ) -> DataFrame:
-    """A layer folder of CSV files with headers; all strings unless ``schema`` is given."""
-    reader = spark.read.options(**options)
+    """A layer folder that ``write_layer_csv`` wrote; all strings unless ``schema`` is given."""
+    reader = spark.read.options(**(CSV_OPTIONS | options))
     if schema is not None:
         # Check the header's names too: a folder written without one must not pass.
         reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path, header=True)
+    return map_strings(reader.csv(path, header=True), unmarked)
 
 
 def read_layer_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -10,6 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter
 
+from logquarry.operators.cleaning import map_strings
+from logquarry.sources.csv_text import CSV_OPTIONS, marked
+
 
 def _writer(
     df: DataFrame,
@@ -30,7 +33,8 @@ def write_layer_csv(
     **options,
 ) -> None:
     """Overwrite a CSV folder. Layers keep their header: readers go by it."""
-    _writer(df, "overwrite", files, partition_by).options(**options).csv(path, header=header)
+    writer = _writer(map_strings(df, marked), "overwrite", files, partition_by)
+    writer.options(**(CSV_OPTIONS | options)).csv(path, header=header)
 
 
 def write_layer_parquet(

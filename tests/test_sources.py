@@ -13,6 +13,9 @@ from logquarry.streaming.messages import to_message_payload, write_messages
 from tests.lines import ALL, frame
 from tests.test_aggregate import MIXED
 
+CONTROL = [chr(c) for c in range(0x21)]
+CODED = ["a\x00b", "two\nlines", "cr\r"]
+MARKS = ["\\N", "\\E", "\\EQQ==", "\\\\N", "\\\\\\N", "\\", "N", "\\Nx", '"', '""', '","', "#x", "'"]
 ODD = ['q"uo"te', "back\\slash", '\\"both\\"', "com,ma", "é ü", "  padded  ", "-", "NA", ""]
 
 
@@ -21,13 +24,22 @@ def rows(df):
 
 
 def test_object_store_conf():
-    bare = object_store_conf(endpoint="s3.example.com")
-    assert bare["spark.hadoop.fs.s3a.endpoint"] == "s3.example.com"
-    assert "InstanceProfile" in bare["spark.hadoop.fs.s3a.aws.credentials.provider"]
-    assert not any("key" in k for k in bare)
-    keyed = object_store_conf(access_key="a", secret_key="b")
-    assert keyed["spark.hadoop.fs.s3a.secret.key"] == "b"
-    assert all(k.startswith("spark.hadoop.") for k in keyed)
+    assert object_store_conf() == {}
+    assert object_store_conf(endpoint="s3.example.com", provider="a.B,c.D") == {
+        "spark.hadoop.fs.s3a.endpoint": "s3.example.com",
+        "spark.hadoop.fs.s3a.aws.credentials.provider": "a.B,c.D",
+    }
+    assert object_store_conf(access_key="a", secret_key="b", session_token="c") == {
+        "spark.hadoop.fs.s3a.access.key": "a",
+        "spark.hadoop.fs.s3a.secret.key": "b",
+        "spark.hadoop.fs.s3a.session.token": "c",
+    }
+
+
+@pytest.mark.parametrize("given", [{"access_key": "a"}, {"secret_key": "b"}, {"session_token": "c"}])
+def test_object_store_conf_refuses_half_a_key(given):
+    with pytest.raises(ValueError, match="key"):
+        object_store_conf(**given)
 
 
 def test_scratch_folder_follows_the_setting(spark):
@@ -75,11 +87,17 @@ def test_append_log_text(spark, tmp_path):
     assert rows(readers.read_log_lines(spark, path)) == sorted([(x,) for x in ALL * 2], key=str)
 
 
-def test_csv_gives_back_what_blank_to_null_says(spark, tmp_path):
-    df = frame(spark, ODD)
+@pytest.mark.parametrize("columns", [["id", "value"], ["value"], ["value", "id"]])
+def test_csv_gives_back_what_was_written(spark, tmp_path, columns):
+    df = frame(spark, ODD + CONTROL + CODED + MARKS + [None]).select(columns)
     writers.write_layer_csv(df, str(tmp_path / "c"))
-    back = readers.read_layer_csv(spark, str(tmp_path / "c"), df.schema)
-    assert rows(back) == rows(blank_to_null(df))
+    assert rows(readers.read_layer_csv(spark, str(tmp_path / "c"), df.schema)) == rows(df)
+
+
+def test_blank_to_null_trims_blanks_and_controls(spark):
+    df = frame(spark, [f"{c}x{c}" for c in CONTROL] + CONTROL + ["", " \x00\x1f ", "é\xa0"])
+    got = [r.value for r in blank_to_null(df).orderBy("id").collect()]
+    assert got == ["x"] * len(CONTROL) + [None] * (len(CONTROL) + 2) + ["é\xa0"]
 
 
 def test_csv_without_schema_is_all_strings(spark, tmp_path):
@@ -142,19 +160,35 @@ def test_published_layers_equal_the_lazy_ones(spark, tmp_path, profile, fmt):
     lines = frame(spark, ALL[:-1] + MIXED, partitions=3)
     stored = publish_layers(lines, str(tmp_path), choice, fmt)
     lazy = aggregate_layers(curate(lines, choice))
-    if profile == "typed" and fmt == "csv":
-        # This profile keeps '' apart from NULL, which CSV files cannot.
-        assert rows(stored["across_totals"].select("no_get", "no_post", "no_head")) == rows(
-            lazy["across_totals"].select("no_get", "no_post", "no_head")
-        )
-        return
     for name, df in lazy.items():
-        # A device of '' comes back from CSV as NULL.
-        want = blank_to_null(df) if fmt == "csv" else df
-        assert rows(stored[name]) == rows(want), name
+        assert rows(stored[name]) == rows(df), name
+        assert stored[name].dtypes == df.dtypes
+    raw = to_raw(lines, choice)
+    assert rows(stored["raw"]) == rows(raw)
+    assert rows(stored["cleansed"]) == rows(to_cleansed(raw, choice))
+    assert rows(stored["curated"]) == rows(curate(lines, choice))
     assert stored["curated"].schema.names == curate(lines, choice).schema.names
-    if choice.fill or fmt == "parquet":
-        assert rows(stored["curated"]) == rows(curate(lines, choice))
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_layers_to_keep_and_days(spark, tmp_path, fmt):
+    lines = frame(spark, ALL[:-1] + MIXED, partitions=3)
+    stored = publish_layers(lines, str(tmp_path), fmt=fmt, keep=["curated"], by_day=True)
+    assert not (tmp_path / "raw").exists() and not (tmp_path / "cleansed").exists()
+    assert (tmp_path / "curated" / "day=2019-01-22").is_dir()
+    assert rows(stored["curated"].drop("day")) == rows(curate(lines))
+    for name, df in aggregate_layers(curate(lines)).items():
+        assert rows(stored[name]) == rows(df), name
+    with pytest.raises(ValueError, match="silver"):
+        publish_layers(lines, str(tmp_path), keep=["silver"])
+
+
+def test_numbered_lines_refuse_too_many_splits(spark, tmp_path, monkeypatch):
+    for name in "abc":
+        (tmp_path / name).write_text("x\n")
+    monkeypatch.setattr(readers, "MAX_SPLITS", 2)
+    with pytest.raises(Exception, match="more than 2 splits"):
+        readers.read_numbered_lines(spark, str(tmp_path)).collect()
 
 
 def test_publish_rejects_other_formats(spark, tmp_path):
