@@ -45,7 +45,8 @@ def per_device_agg(curated: DataFrame) -> DataFrame:
     )
 
 
-def _per_client(curated: DataFrame) -> DataFrame:
+def per_client_rows(curated: DataFrame) -> DataFrame:
+    """The rows of :func:`per_client_agg` with the ``first_id`` of each client."""
     return (
         curated.withColumn("hour", request_hour(_TIME))
         .groupBy("clientip")
@@ -60,7 +61,7 @@ def _per_client(curated: DataFrame) -> DataFrame:
 
 def per_client_agg(curated: DataFrame) -> DataFrame:
     """clientip → get, post, head, hour (of its lowest id), no_of_client (requests)."""
-    return _per_client(curated).drop("first_id")
+    return per_client_rows(curated).drop("first_id")
 
 
 def hourly_per_client_agg(curated: DataFrame) -> DataFrame:
@@ -90,8 +91,13 @@ def across_clients_first_hour(curated: DataFrame) -> DataFrame:
     The method columns of a per-client row are counts, hence never NULL, so counting them
     gives the number of per-client rows each time.
     """
+    return first_hour_of_clients(per_client_rows(curated))
+
+
+def first_hour_of_clients(per_client: DataFrame) -> DataFrame:
+    """:func:`across_clients_first_hour` from the rows of :func:`per_client_rows`."""
     return aggregate_row_id(
-        _per_client(curated).agg(
+        per_client.agg(
             *[F.count(name.lower()).alias(f"no_{name.lower()}") for name in METHODS],
             F.min_by("hour", "first_id").alias("day_hour"),
             F.count("clientip").alias("no_of_clients"),
@@ -99,6 +105,18 @@ def across_clients_first_hour(curated: DataFrame) -> DataFrame:
     )
 
 
+def totals_of_devices(per_device: DataFrame) -> DataFrame:
+    """The row of :func:`across_device_totals` from those of :func:`per_device_agg`."""
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0))
+    return aggregate_row_id(
+        per_device.agg(
+            *[total(name.lower()).alias(f"no_{name.lower()}") for name in METHODS],
+            F.sum("hour").alias("day_hour"),
+            total("no_of_client").alias("no_of_clients"),
+        )
+    )
+
+
 def hourly_across_agg(curated: DataFrame) -> DataFrame:
     """day_hour → no_of_clients (requests with a client), count_row, get, post, head."""
     return (

@@ -23,9 +23,12 @@ def line_id(lines: DataFrame) -> DataFrame:
 
 
 def extract_columns(
-    lines: DataFrame, family: str = "loose", columns: Sequence[str] = EXTRACTED_COLUMNS
+    lines: DataFrame,
+    family: str = "loose",
+    columns: Sequence[str] = EXTRACTED_COLUMNS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``value`` to ``id`` and the extracted columns, all strings."""
+    """``value`` to ``id``, the columns to ``keep`` and the extracted ones, all strings."""
     return line_id(lines).select(
-        "id", *[extract_field("value", name, family).alias(name) for name in columns]
+        "id", *keep, *[extract_field("value", name, family).alias(name) for name in columns]
     )

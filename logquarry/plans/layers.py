@@ -26,14 +26,16 @@ def to_raw(
     """Extract, remove duplicates, strip the request, size to KB, mark what is missing.
 
     With fewer ``columns`` the later layers stay as narrow. Counting requests takes
-    ``DEDUP_KEYS`` only, and removing duplicates among those alone is cheaper.
+    ``DEDUP_KEYS`` only, and removing duplicates among those alone is cheaper. Otherwise the
+    line is carried along, and the other fields are extracted from lines that stay.
     """
-    keys = DEDUP_KEYS if profile.dedup else []
-    raw = extract_columns(
-        lines, profile.family, [c for c in EXTRACTED_COLUMNS if c in columns or c in keys]
-    )
     if profile.dedup:
-        raw = dedup_requests(raw)
+        rest = [c for c in columns if c not in DEDUP_KEYS]
+        keyed = extract_columns(lines, profile.family, DEDUP_KEYS, keep=["value"] if rest else [])
+        kept = dedup_requests(keyed)
+        raw = extract_columns(kept, profile.family, rest, keep=[c for c in columns if c in DEDUP_KEYS])
+    else:
+        raw = extract_columns(lines, profile.family, columns)
     raw = raw.select("id", *columns)
     if profile.strip and "request" in columns:
         raw = raw.withColumn("request", profile.strip("request"))

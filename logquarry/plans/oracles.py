@@ -16,18 +16,17 @@ _STRINGS_RAW = [c for c in _LINE_COLUMNS if c != "size"]
 _STRINGS_CLEANSED = [c for c in _STRINGS_RAW if c not in ("datetime_confirmed", "status_code")]
 
 # The two pattern families.
-_AGENTS = "(Mozilla|Dalvik|Goog|torob|Bar)"
-_DEVICE = _AGENTS + r".\d\S+\s\((\S\w+;?\s\S+(\s\d\.(\d\.)?\d)?)"
+_DEVICE = r"(Mozilla|Dalvik|Goog|torob|Bar).\d\S+\s\((\S\w+;?\s\S+(\s\d\.(\d\.)?\d)?)"
 _PATTERNS = {
     "strict": [
         (r"(^\S+\.[\S+\.]+\S+)\s", 1), (r"(\d{2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2})", 1),
         (r"GET|POST|HEAD", 0), (r'\s\S+\sHTTP/1.1"', 0), (r"\s(\d{3})\s", 1),
-        (r'\s(\d+)\s"', 1), (r'("https(\S+)")', 2), (_AGENTS + r"(\S+\s+)*", 0),
+        (r'\s(\d+)\s"', 1), (r'("https(\S+)")', 2), (r"(Mozilla|Dalvik|Goog|torob|Bar)(\S+\s+)*", 0),
     ],
     "loose": [
         (r"([\S+\.]+)", 1), (r"(\d+/\w+/\d+[:\d]+)", 1),
         (r"GET|POST|HEAD", 0), (r'\s\S+\sHTTP/1.1"', 0), (r"\s\d{3}\s", 0),
-        (r'\s(\d+)\s"', 1), (r'("https(\S+)")', 1), ('"' + _DEVICE, 0),
+        (r'\s(\d+)\s"', 1), (r'("https(\S+)")', 1), (r'"(Mozilla|Dalvik|Goog|torob|Bar).\d\S+\s\((\S\w+;?\s\S+(\s\d\.(\d\.)?\d)?)', 0),
     ],
 }
 
@@ -156,9 +155,26 @@ _FIRST_HOUR = (
     "count(DISTINCT clientip) AS no_of_clients, CAST(0 AS BIGINT) AS row_id FROM curated"
 )
 
+_PER_CLIENT = (
+    f"SELECT clientip, {_counts()}, CAST(arg_min_null(hour(datetime_confirmed), id) AS INTEGER) AS hour, "
+    "count(clientip) AS no_of_client FROM curated GROUP BY 1"
+)
+_AGGREGATE_SIZES = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM ({sql})"
+    for name, sql in {
+        "per_device": _PER_DEVICE,
+        "per_client": _PER_CLIENT,
+        "hourly_per_client": _PER_CLIENT_HOUR,
+        "across_totals": _TOTALS,
+        "across_first_hour": _FIRST_HOUR,
+        "hourly_across": _HOURLY_ACROSS,
+        "hourly_distinct": _HOURLY_DISTINCT,
+    }.items()
+)
+
 # --- augmentation ----------------------------------------------------------------------
 
-_SHAPE = r"^( *(?:[^ ]*\.)?)(\d{1,18})( [^ ]* [^ ]* \[)(\d{2})(/[^ :]*:)(\d{2})(.*)$"
+_SHAPE = r"^( *(?:[^ ]*\.)?)(\d+)( [^ ]* [^ ]* \[)(\d{2})(/[^ :]*:)(\d{2})(.*)$"
 _PIECES = (
     "SELECT *, regexp_matches(value, '{0}') AS fits, "
     + ", ".join(f"regexp_extract(value, '{{0}}', {i}) AS p{i}" for i in range(1, 8))
@@ -175,19 +191,20 @@ def _copies(passes: int) -> str:
     return f"SELECT CAST(n AS BIGINT) AS pass_no, line_no, value FROM seed CROSS JOIN range({passes}) r(n)"
 
 
-_PERTURBED = {
-    "pieces": _PIECES.format(_SHAPE, "seed"),
-    "shifted": (
-        "SELECT line_no, CASE WHEN (line_no + 1) % 10 = 0 AND fits THEN p1 "
-        "|| CAST(CAST(p2 AS BIGINT) + 1 AS VARCHAR) || p3 || p4 || p5 || CASE WHEN p6 < '10' "
-        "THEN lpad(CAST(CAST(p6 AS INTEGER) + 1 AS VARCHAR), 2, '0') ELSE p6 END || p7 "
-        "ELSE value END AS value FROM pieces"
-    ),
-    "perturbed": (
-        f"SELECT line_no, CASE WHEN (line_no + 1) % 9 = 0 THEN {_GET_TO_POST} ELSE value END "
-        "AS value FROM shifted"
-    ),
-}
+def _perturbed(step: int) -> dict[str, str]:
+    return {
+        "pieces": _PIECES.format(_SHAPE, "seed"),
+        "shifted": (
+            "SELECT line_no, CASE WHEN (line_no + 1) % 10 = 0 AND fits THEN p1 "
+            f"|| CAST(CAST(p2 AS BIGINT) + {step} AS VARCHAR) || p3 || p4 || p5 || CASE WHEN p6 < '10' "
+            f"THEN lpad(CAST(CAST(p6 AS INTEGER) + {step} AS VARCHAR), 2, '0') ELSE p6 END || p7 "
+            "ELSE value END AS value FROM pieces"
+        ),
+        "perturbed": (
+            f"SELECT line_no, CASE WHEN (line_no + 1) % 9 = 0 THEN {_GET_TO_POST} ELSE value END "
+            "AS value FROM shifted"
+        ),
+    }
 
 
 def _ramped(passes: int) -> dict[str, str]:
@@ -231,10 +248,8 @@ _CURATED = _layer_query("loose", "SELECT * FROM curated")
 ORACLES = {
     "hourly_across": _HOURLY_DEDUPED,
     "read_lines": _steps(lines=_lines()) + " SELECT value FROM lines",
-    "numbered_lines": (
-        "SELECT count(*) AS n_lines, count(*) AS n_numbers, CAST(0 AS BIGINT) AS first_no, "
-        "count(*) - 1 AS last_no FROM events"
-    ),
+    "numbered_lines": _steps(lines=_lines())
+    + " SELECT row_number() OVER (ORDER BY id) - 1 AS line_no, value FROM lines",
     "row_count": _layer_query(
         "distinct",
         "SELECT 'lines' AS layer, count(*) AS n_rows FROM lines UNION ALL "
@@ -293,15 +308,24 @@ ORACLES = {
     "cleansed_distinct": _layer_query("distinct", "SELECT * FROM cleansed", on_the_hour=True),
     "curated": _CURATED,
     "layers_published": _HOURLY_DEDUPED,
+    "layers_raw": _layer_query("distinct", "SELECT * FROM raw", on_the_hour=True),
+    "layers_cleansed": _layer_query("distinct", "SELECT * FROM cleansed", on_the_hour=True),
+    "layers_curated": _layer_query("distinct", "SELECT * FROM curated", on_the_hour=True),
+    "layers_hourly_per_client": _layer_query("distinct", _PER_CLIENT_HOUR, on_the_hour=True),
+    "layers_hourly_distinct": _layer_query("distinct", _HOURLY_DISTINCT, on_the_hour=True),
+    "layers_per_device": _layer_query("distinct", _PER_DEVICE, on_the_hour=True),
+    "layers_per_client": _layer_query("distinct", _PER_CLIENT, on_the_hour=True),
+    "layers_across_totals": _layer_query("distinct", _TOTALS, on_the_hour=True),
+    "layers_across_first_hour": _layer_query("distinct", _FIRST_HOUR, on_the_hour=True),
+    "layers_csv_typed": _layer_query("typed", _PER_DEVICE),
+    "layers_by_day": _layer_query(
+        "strict", "SELECT *, strftime(datetime_confirmed, '%Y-%m-%d') AS day FROM curated"
+    ),
+    "aggregates_cached": _layer_query("typed", _AGGREGATE_SIZES),
     "dedup": _steps(lines=_lines(on_the_hour=True), extracted=_extract("loose"))
     + f" SELECT * FROM extracted {_FIRST_ROW}",
     "per_device": _layer_query("typed", _PER_DEVICE),
-    "per_client": _layer_query(
-        "strict",
-        f"SELECT clientip, {_counts()}, "
-        "CAST(arg_min_null(hour(datetime_confirmed), id) AS INTEGER) AS hour, "
-        "count(clientip) AS no_of_client FROM curated GROUP BY 1",
-    ),
+    "per_client": _layer_query("strict", _PER_CLIENT),
     "hourly_per_client": _layer_query("distinct", _PER_CLIENT_HOUR, on_the_hour=True),
     "across_totals": _layer_query("typed", _TOTALS),
     "across_first_hour": _layer_query("strict", _FIRST_HOUR),
@@ -310,23 +334,36 @@ ORACLES = {
     "hourly_distinct": _layer_query("loose", _HOURLY_DISTINCT),
     "replicate": _steps(**_numbered()) + " " + _copies(3),
     "replicate_spread": _steps(**_numbered()) + " " + _copies(5),
-    "perturb_nth": _steps(**_numbered(), **_PERTURBED) + " SELECT * FROM perturbed",
+    "perturb_nth": _steps(**_numbered(), **_perturbed(1)) + " SELECT * FROM perturbed",
     "ramp_seed": _steps(**_numbered(), **_ramped(5)) + " SELECT * FROM ramped",
     "ramp_hourly": _ramp_hourly(),
     "passes": (
         "SELECT count(*) AS seed_rows, CAST(floor(300000 / count(*)) AS BIGINT) AS passes FROM events"
     ),
+    "fixed_passes": (
+        "SELECT event_id AS line_no, CAST(1000 AS BIGINT) AS n_lines, CAST(0 AS BIGINT) AS first_pass, "
+        "CAST(999 AS BIGINT) AS last_pass FROM events"
+    ),
+    "seed_to_log": _steps(
+        lines=_lines(), seed="SELECT row_number() OVER (ORDER BY id) - 1 AS line_no, value FROM lines", **_perturbed(3)
+    )
+    + " SELECT value FROM seed UNION ALL SELECT value FROM perturbed",
     "layer_csv": _CLEANSED,
     "layer_parquet": _CLEANSED,
     "table_default": _CURATED,
     "table_orc": _layer_query("typed", _PER_DEVICE),
+    "table_orc_totals": _layer_query("typed", _TOTALS),
+    "catalog_databases": (
+        "SELECT 'logquarry' AS database, count(*) AS n_tables FROM (VALUES ('per device'), ('across'))"
+    ),
+    "few_files": _layer_query("typed", f"SELECT *, 1 AS n_files FROM ({_PER_DEVICE})"),
     "catalog_tables": _layer_query(
         "typed",
         f"SELECT 'log_agg_per_device' AS tableName, count(*) AS n_rows FROM ({_PER_DEVICE}) "
         f"UNION ALL SELECT 'log_agg_across_device', count(*) FROM ({_TOTALS})",
     ),
     "connector": _layer_query("loose", _WAREHOUSE),
-    "append_text": _steps(**_numbered(), **_PERTURBED)
+    "append_text": _steps(**_numbered(), **_perturbed(1))
     + " SELECT value FROM seed UNION ALL SELECT value FROM perturbed",
     "payload": _steps(lines=_lines()) + f" SELECT {_JSON_LINE} FROM lines",
     "messages": _steps(**_numbered(), **_ramped(2)) + f" SELECT {_JSON_LINE} FROM ramped",

@@ -16,7 +16,7 @@ from logquarry.operators import aggregate, augment, cleaning
 from logquarry.operators.dedup import dedup_requests
 from logquarry.operators.extraction import extract_columns, line_id
 from logquarry.plans.jobs import publish_layers
-from logquarry.plans.layers import curate, to_cleansed, to_raw
+from logquarry.plans.layers import aggregate_layers, curate, to_cleansed, to_raw
 from logquarry.plans.profiles import DISTINCT, LOOSE, STRICT, TYPED, LogProfile
 from logquarry.schema import DEDUP_KEYS
 from logquarry.session import scratch_folder
@@ -52,30 +52,27 @@ def read_lines(spark, sf_dir):
 
 
 def numbered_lines(spark, sf_dir):
-    lines = readers.read_numbered_lines(spark, _written_lines(spark, sf_dir, "numbered-lines"))
-    return lines.agg(
-        F.count("value").alias("n_lines"),
-        F.count_distinct("line_no").alias("n_numbers"),
-        F.min("line_no").alias("first_no"),
-        F.max("line_no").alias("last_no"),
-    )
+    """The lines of a log written in the order of their ids, numbered when read."""
+    return readers.read_numbered_lines(spark, _ordered_log(spark, sf_dir, "numbered-lines"))
+
+
+def _ordered_log(spark: SparkSession, sf_dir: str, label: str) -> str:
+    path = scratch_folder(spark, label)
+    writers.append_log_text(event_lines(spark, sf_dir).orderBy("id"), path)
+    return path
 
 
 def row_count(spark, sf_dir):
+    """Rows of the log, and of what one removal of duplicates leads to."""
     lines = _hourly_lines(spark, sf_dir)
-    raw = to_raw(lines, DISTINCT)
-    curated = _requests(lines, DISTINCT)
-    layers = {
-        "lines": lines,
-        "raw": raw,
-        "per_client": aggregate.hourly_per_client_agg(curated),
-        "across": aggregate.hourly_across_agg(curated),
-    }
-    counts = [
-        aggregate.row_count(df).select(F.lit(name).alias("layer"), "n_rows")
-        for name, df in layers.items()
-    ]
-    return reduce(DataFrame.union, counts)
+    per_client = aggregate.hourly_per_client_agg(_requests(lines, DISTINCT))
+    hours = per_client.groupBy("day_hour").agg(
+        F.sum("count_row").alias("requests"), F.count(F.lit(1)).alias("clients")
+    )
+    sizes = hours.agg(
+        F.sum("requests").alias("raw"), F.sum("clients").alias("per_client"), F.count(F.lit(1)).alias("across")
+    ).unpivot([], ["raw", "per_client", "across"], "layer", "n_rows")
+    return aggregate.row_count(lines).select(F.lit("lines").alias("layer"), "n_rows").union(sizes)
 
 
 # --- extraction ------------------------------------------------------------------------
@@ -238,6 +235,50 @@ def layers_published(spark, sf_dir):
     return publish_layers(_hourly_lines(spark, sf_dir), folder, DISTINCT)["hourly_across"]
 
 
+def _published(name: str):
+    """The query for one of the tables that a published log has."""
+
+    def query(spark, sf_dir):
+        folder = scratch_folder(spark, "layers")
+        return publish_layers(_hourly_lines(spark, sf_dir), folder, DISTINCT)[name]
+
+    return query
+
+
+PUBLISHED = (
+    "raw",
+    "cleansed",
+    "curated",
+    "hourly_per_client",
+    "hourly_distinct",
+    "per_device",
+    "per_client",
+    "across_totals",
+    "across_first_hour",
+)
+
+
+def layers_csv_typed(spark, sf_dir):
+    """Devices by way of CSV files, which have to keep ``''`` apart from NULL."""
+    folder = scratch_folder(spark, "layers-csv")
+    return publish_layers(event_lines(spark, sf_dir), folder, TYPED, "csv")["per_device"]
+
+
+def layers_by_day(spark, sf_dir):
+    folder = scratch_folder(spark, "layers-day")
+    tables = publish_layers(event_lines(spark, sf_dir), folder, STRICT, keep=["curated"], by_day=True)
+    return tables["curated"].withColumn("day", F.col("day").cast("string"))
+
+
+def aggregates_cached(spark, sf_dir):
+    """How many rows each aggregate has, all of them cached."""
+    frames = aggregate_layers(curate(event_lines(spark, sf_dir), TYPED), cache=True)
+    counts = [
+        aggregate.row_count(df).select(F.lit(name).alias("table_name"), "n_rows") for name, df in frames.items()
+    ]
+    return reduce(DataFrame.union, counts)
+
+
 # --- distinct and aggregates -----------------------------------------------------------
 
 
@@ -310,6 +351,24 @@ def passes(spark, sf_dir):
     return augment.measure_passes(event_lines(spark, sf_dir), 3)
 
 
+def fixed_passes(spark, sf_dir):
+    """What the fixed-rate generator makes of a log for one lakh."""
+    grown = augment.replicate_log(_numbered(event_lines(spark, sf_dir)), augment.passes_per_lakh(1))
+    return grown.groupBy("line_no").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.min("pass_no").alias("first_pass"), F.max("pass_no").alias("last_pass")
+    )
+
+
+def seed_to_log(spark, sf_dir):
+    """A seed file is numbered, varied and added to itself."""
+    path = _ordered_log(spark, sf_dir, "seed")
+    varied = augment.perturb_every_nth(readers.read_numbered_lines(spark, path), step=3)
+    grown = scratch_folder(spark, "grown")
+    writers.append_log_text(readers.read_log_lines(spark, path), grown)
+    writers.append_log_text(varied, grown)
+    return readers.read_log_lines(spark, grown)
+
+
 # --- sinks -----------------------------------------------------------------------------
 
 
@@ -353,6 +412,26 @@ def table_orc(spark, sf_dir):
     return spark.table(f"{_save_orc_aggregates(spark, sf_dir)}.log_agg_per_device")
 
 
+def table_orc_totals(spark, sf_dir):
+    return spark.table(f"{_save_orc_aggregates(spark, sf_dir)}.log_agg_across_device")
+
+
+def catalog_databases(spark, sf_dir):
+    """The database made for the ORC aggregates, as listed, and how many tables it has."""
+    database = _save_orc_aggregates(spark, sf_dir)
+    tables = catalog.list_tables(spark, database).groupBy("namespace").agg(F.count(F.lit(1)).alias("n_tables"))
+    listed = catalog.list_databases(spark).join(tables, "namespace")
+    return listed.select(F.split("namespace", "_")[0].alias("database"), "n_tables")
+
+
+def few_files(spark, sf_dir):
+    """An aggregate written as one file, with the number of files that it is read from."""
+    path = scratch_folder(spark, "few-files")
+    writers.write_layer_parquet(per_device(spark, sf_dir), path, files=1)
+    found = readers.read_layer_parquet(spark, path)
+    return found.withColumn("n_files", F.lit(len(found.inputFiles())))
+
+
 def catalog_tables(spark, sf_dir):
     """The tables of a database with the rows of each, after saving the ORC aggregates."""
     database = _save_orc_aggregates(spark, sf_dir)
@@ -430,6 +509,9 @@ QUERIES = {
         cleansed_distinct,
         curated,
         layers_published,
+        layers_csv_typed,
+        layers_by_day,
+        aggregates_cached,
         dedup,
         per_device,
         per_client,
@@ -445,14 +527,19 @@ QUERIES = {
         ramp_seed,
         ramp_hourly,
         passes,
+        fixed_passes,
+        seed_to_log,
         layer_csv,
         layer_parquet,
         table_default,
         table_orc,
+        table_orc_totals,
+        catalog_databases,
+        few_files,
         catalog_tables,
         connector,
         append_text,
         payload,
         messages,
     )
-}
+} | {f"layers_{name}": _published(name) for name in PUBLISHED}

