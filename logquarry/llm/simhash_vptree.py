@@ -24,12 +24,12 @@ from logquarry.llm.common import attach, components, stored, table
 RADIUS = 4
 BLOCKS = 3
 #: Trees are fitted on so many fingerprints at most, taken by hash; all rows are indexed.
-SAMPLE_ROWS = 16_384
+SAMPLE_ROWS = 32_768
 #: Rows of a shard that belong there, aimed at; so many levels at most.
 LEAF_ROWS = 1_000
-MAX_DEPTH = 10
+MAX_DEPTH = 13
 #: A shard with more rows is dealt out in pairs of blocks of this size.
-TASK_ROWS = 6_000
+TASK_ROWS = 16_000
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
 
