@@ -28,10 +28,13 @@ ORDER = 4
 SAMPLE_ROWS = 1_200
 #: Languages learned; with more of them, those with the most rows.
 MAX_LANGS = 64
-#: A winner less likely than this is rejected, as is a text whose cross-entropy lies so many
-#: standard deviations above that of its language.
+#: Calibration rejects nothing that looks like a labelled row: a winner less likely than
+#: MARGIN times the least likely right winner there (MIN_SCORE at most), or a text whose
+#: cross-entropy lies more standard deviations above that of its language than 1 / MARGIN
+#: times the most seen there (MAX_DEVIATIONS at least).
 MIN_SCORE = 0.5
 MAX_DEVIATIONS = 8.0
+MARGIN = 0.5
 _CHUNK = 200_000
 _BLANK = 32
 
@@ -91,6 +94,8 @@ class Models:
     mean: np.ndarray | None = None
     deviation: np.ndarray | None = None
     typical: np.ndarray | None = None
+    least_score: float = MIN_SCORE
+    most_deviations: float = MAX_DEVIATIONS
 
     def log_p(self, grams: np.ndarray, order: int) -> np.ndarray:
         """Log-probabilities of the last symbols, a row for each n-gram."""
@@ -126,15 +131,19 @@ class Models:
             return "und", 0.0, True
         entropy = self.entropies(symbols)
         best = int(entropy.argmin())
-        score = float(1 / np.exp(self.scale * (entropy[best] - entropy)).sum())
-        return self.langs[best], score, score < MIN_SCORE or self._unlike(entropy[best], best, len(symbols))
+        score = self.score(entropy, best)
+        unlike = self.deviations(entropy[best], best, len(symbols)) > self.most_deviations
+        return self.langs[best], score, score < self.least_score or unlike
 
-    def _unlike(self, entropy: float, lang: int, length: int) -> bool:
+    def score(self, entropy: np.ndarray, lang: int) -> float:
+        return float(1 / np.exp(np.minimum(self.scale * (entropy[lang] - entropy), 500)).sum())
+
+    def deviations(self, entropy: float, lang: int, length: int) -> float:
+        """How far the cross-entropy is above what is usual; short texts scatter more."""
         if self.mean is None or np.isnan(self.mean[lang]):
-            return False
-        # Short texts scatter more.
+            return 0.0
         spread = self.deviation[lang] * math.sqrt(1 + self.typical[lang] / length)
-        return bool(entropy - self.mean[lang] > MAX_DEVIATIONS * spread)
+        return float((entropy - self.mean[lang]) / spread)
 
 
 def fit(langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]) -> Models:
@@ -184,6 +193,11 @@ def calibrate(models: Models, truth: np.ndarray, lengths: np.ndarray, entropies:
     models.typical = np.array(
         [np.median(lengths[truth == k]) if len(x) > 1 else 1.0 for k, x in enumerate(sizes)]
     )
+    right = [k for k in range(len(truth)) if entropies[k].argmin() == truth[k]]
+    scores = [models.score(entropies[k], truth[k]) for k in right]
+    far = [models.deviations(own[k], truth[k], lengths[k]) for k in right]
+    models.least_score = min([MIN_SCORE, *(MARGIN * x for x in scores)])
+    models.most_deviations = max([MAX_DEVIATIONS, *(x / MARGIN for x in far)])
 
 
 def fold(id_col: str) -> Column:

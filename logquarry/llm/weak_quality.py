@@ -108,7 +108,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
                 b = ((weight * (1 - good))[mine].sum() + 1e-3) / ((weight * (1 - good)).sum() + 3e-3)
                 log_odds[mine] += np.log(a / b)
         new = 1 / (1 + np.exp(-np.clip(log_odds, -30, 30)))
-        if np.abs(new - good).max() < 1e-6:
+        if np.abs(new - good).max(initial=0) < 1e-6:
             return new
         good = new
     return good

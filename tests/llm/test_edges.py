@@ -1,0 +1,103 @@
+"""Nulls, empty and very long texts, repeated rows, clashing columns and empty tables."""
+
+import pytest
+
+import corpus_pipeline
+from logquarry.llm import (
+    extendible_hash,
+    fuzzy_lines,
+    kneser_ney,
+    mixing,
+    ring,
+    secrets,
+    simhash_vptree,
+    token_counts,
+    weak_quality,
+    wu_manber,
+)
+from tests.llm.cases import CLASHING, COLUMNS, ROWS, SMALL, frame, rows
+
+ITEMS = [("i1", "so it goes on so it goes on so it goes"), ("i2", "One"), ("i3", None), (None, "x y"), ("i4", "%%%")]
+
+
+def tokens(docs):
+    import public_tokenizers
+
+    from logquarry.session import scratch_folder
+
+    cache = scratch_folder(docs.sparkSession, "cache")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), cache)
+
+
+def passages(docs):
+    return wu_manber.find_passages(docs, docs.sparkSession.createDataFrame(ITEMS, "item_id string, text string"))
+
+
+def quality(docs):
+    return weak_quality.score(docs, weak_quality.fit(docs)[0])
+
+
+def mixed(docs):
+    taken, _ = mixing.mix(mixing.sized_rows(docs, "doc_id", "source", "text"))
+    return taken.selectExpr("explode(sequence(1L, copies))", "doc_id")
+
+
+OPERATORS = {
+    "op1": simhash_vptree.near_duplicates,
+    "op2": extendible_hash.exact_duplicates,
+    "op3": mixed,
+    "op4": fuzzy_lines.repeated_lines,
+    "op4 texts": fuzzy_lines.without_repeated_lines,
+    "op5": ring.shard_rows,
+    "op6": tokens,
+    "op7": secrets.find_secrets,
+    "op8": passages,
+    "op9": lambda docs: kneser_ney.identify(docs, kneser_ney.train(docs)),
+    "op10": quality,
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_a_row_for_each_row(spark, name):
+    for clashing in (False, True):
+        found = OPERATORS[name](frame(spark, clashing=clashing)).collect()
+        ids = sorted((r["doc_id"] for r in found), key=repr)
+        assert ids == sorted((r[0] for r in ROWS), key=repr), clashing
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_no_rows(spark, name):
+    assert OPERATORS[name](frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_only_nulls(spark, name):
+    docs = spark.createDataFrame([(None,) * 5, (1, None, None, None, None)], COLUMNS)
+    assert len(OPERATORS[name](docs).collect()) == 2
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_take_anything(spark, name, stage):
+    last = name == corpus_pipeline.STAGES[-1][0]
+    for data, clashing in ((ROWS, False), (ROWS, True), ([], False)):
+        docs = frame(spark, data, clashing)
+        found = stage(spark, docs, SMALL)
+        if last:
+            assert set(found.columns) == {*docs.columns, "shard", "slot"}
+        else:
+            assert found.columns == docs.columns and found.dtypes == docs.dtypes
+        kept = found.select("doc_id", "text").collect()
+        assert {(r.doc_id, r.text) for r in kept} <= {r[:2] for r in data}
+        if clashing:
+            own = {"shard", "slot"} if last else set()
+            assert all(r[c] == "kept" for r in found.collect() for c in CLASHING if c not in own)
+
+
+def test_results_do_not_hang_on_partitions(spark):
+    """What a lost executor makes run again comes out the same."""
+    for name, operator in OPERATORS.items():
+        if name in ("op9", "op10", "op5"):  # rows without an id or with one id are in any order
+            continue
+        drop = ["text", "row"]
+        first, second = (rows(operator(frame(spark).repartition(n)).drop(*drop)) for n in (1, 7))
+        assert first == second, name

@@ -1,0 +1,85 @@
+import zlib
+from collections import Counter
+
+import pytest
+import xxhash
+
+from logquarry.llm import ring as R
+from tests.llm.cases import MEDIUM, documents, frame
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text for r in documents(spark, MEDIUM).collect()}
+    got = R.op5_bounded_ring(spark, MEDIUM).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    slots = {}
+    for r in got:
+        data = (texts[r.doc_id] or "").encode()
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(data) + 1, zlib.crc32(data), "rows", None)
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert set(slots) == set(range(16))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def brute(keys, shards, room, virtual_nodes=R.VIRTUAL_NODES):
+    """Every key walks by itself: own shards first, then on clockwise, in ring order."""
+    nodes = R.ring(shards, virtual_nodes)
+    hashed = {}
+    for key in keys:
+        value = xxhash.xxh64_intdigest(int(key).to_bytes(8, "little", signed=True), seed=42)
+        hashed[key] = value >> 33
+    arc = lambda p: next((k for k, (at, _) in enumerate(nodes) if p <= at), 0)
+    # Keys beyond the last node belong to the first arc and come before those at its begin.
+    order = sorted(keys, key=lambda k: (arc(hashed[k]), hashed[k] <= nodes[-1][0], hashed[k], k))
+    room, out, rest = list(room), {}, []
+    for key in order:
+        shard = nodes[arc(hashed[key])][1]
+        if room[shard]:
+            room[shard] -= 1
+            out[key] = shard
+        else:
+            rest.append(key)
+    for key in rest:
+        k = arc(hashed[key])
+        while not room[nodes[k][1]]:
+            k = (k + 1) % len(nodes)
+        room[nodes[k][1]] -= 1
+        out[key] = nodes[k][1]
+    return out
+
+
+@pytest.mark.parametrize("shards,slack,virtual_nodes,piece", [(16, 0.0, 64, 20_000), (5, 0.2, 8, 40), (3, 0.0, 1, 7), (1, 0, 1, 9)])
+def test_as_keys_walk_one_by_one(spark, monkeypatch, shards, slack, virtual_nodes, piece):
+    monkeypatch.setattr(R, "PIECE_ROWS", piece)
+    df = spark.range(700).selectExpr("id * 7919 AS doc_id").repartition(3)
+    got = R.shard_rows(df, shards=shards, slack=slack, virtual_nodes=virtual_nodes).collect()
+    want = brute([r.doc_id for r in got], shards, R.capacities(700, shards, slack), virtual_nodes)
+    assert {r.doc_id: r.shard for r in got} == want
+    for shard in set(want.values()):
+        slots = sorted(r.slot for r in got if r.shard == shard)
+        assert slots == list(range(len(slots)))
+
+
+def test_little_moves_when_a_shard_comes(spark):
+    df = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    before, after = (
+        {r.doc_id: r.shard for r in R.shard_rows(df, shards=n, slack=0.3).collect()} for n in (16, 17)
+    )
+    moved = sum(before[k] != after[k] for k in before)
+    # A new seventeenth share is 1,176; bounds make a few more keys move on.
+    assert 800 < moved < 3_000
+    assert max(Counter(after.values()).values()) <= -(-int(20_000 * 1.3) // 17)
+
+
+def test_one_id_on_many_rows(spark):
+    df = spark.range(3_000).selectExpr("IF(id % 3 = 0, 7, id) AS doc_id", "id AS text")
+    got = R.shard_rows(df).collect()
+    assert len({r.text for r in got}) == 3_000
+    assert set(Counter(r.shard for r in got).values()) == {187, 188}
+
+
+def test_columns_with_own_names_are_replaced(spark):
+    got = R.shard_rows(frame(spark).selectExpr("doc_id", "'x' AS Shard", "'y' AS slot"))
+    assert got.columns == ["doc_id", "shard", "slot"]
+    assert got.count() == 16
