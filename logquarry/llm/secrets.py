@@ -80,8 +80,15 @@ def find_matches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _digest(token: str) -> Column:
+    return F.sha2(token, 256)
+
+
 def _battery(tokens: DataFrame) -> DataFrame:
-    """Per distinct candidate its length, alphabet and test statistics, without trailing ``=``."""
+    """Per candidate's ``id`` its length, alphabet and test statistics, without trailing ``=``.
+
+    Characters travel with the id: candidates can be as long as a text.
+    """
     body = F.rtrim(F.col("token"), F.lit("="))
     encoding = (
         F.when(body.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
@@ -107,18 +114,18 @@ def _battery(tokens: DataFrame) -> DataFrame:
         tokens.withColumn("encoding", encoding)
         .withColumn("k", size)
         .select(
-            "token",
+            "id",
             "encoding",
             "k",
             F.explode(F.arrays_zip(letters.alias("c"), F.slice(letters, 2, F.char_length("token")).alias("d"))).alias("x"),
         )
-        .select("token", "encoding", "k", "x.c", "x.d")
+        .select("id", "encoding", "k", "x.c", "x.d")
         .filter("c <> ''")
     )
     has = F.col("d").isNotNull() & (F.col("d") != "")
     x, y = number("c"), number("d")
     middle = F.when(F.col("encoding") == "base32", F.lit(18)).otherwise(F.expr("k div 2"))
-    by_char = chars.groupBy("token", "encoding", "k", "c").agg(
+    by_char = chars.groupBy("id", "encoding", "k", "c").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.when(has & (kind("c") != kind("d")), 1).otherwise(0)).alias("changes"),
         F.sum(F.when(has & ((x < middle) != (y < middle)), 1).otherwise(0)).alias("turns"),
@@ -130,7 +137,7 @@ def _battery(tokens: DataFrame) -> DataFrame:
         F.sum(F.when(x < middle, 1).otherwise(0)).alias("low"),
     )
     sums = {c: F.sum(c).alias(c) for c in ("n", "changes", "turns", "xy", "y", "first", "x", "xx", "low")}
-    return by_char.groupBy("token", "encoding", "k").agg(
+    return by_char.groupBy("id", "encoding", "k").agg(
         *sums.values(), F.sum(F.col("n") * F.col("n")).alias("squares")
     )
 
@@ -169,16 +176,16 @@ def _ordinary(stats: DataFrame) -> DataFrame:
 
 
 def random_strings(matches: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
-    """``(token, n)`` for the candidates called random, and in how many places they are."""
-    tokens = stored(
-        matches.filter("kind = 'random' and token is not null").groupBy("token").agg(F.count(F.lit(1)).alias("places")),
-        "tokens",
+    """``(id, n)``: digests of the candidates called random, and in how many places they are."""
+    tokens = matches.filter("kind = 'random' and token is not null").groupBy("token").agg(
+        F.count(F.lit(1)).alias("places")
     )
-    stats = stored(_battery(tokens.select("token")), "stats")
+    tokens = stored(tokens.withColumn("id", _digest("token")), "tokens")
+    stats = stored(_battery(tokens), "stats")
     judged = _ordinary(_noise(stats))
     total = stats.agg(F.count(F.lit(1)).alias("m"), F.avg("n").alias("length")).first()
     if not total["m"]:
-        return tokens.select("token", F.col("places").alias("n")).limit(0)
+        return tokens.select("id", F.col("places").alias("n")).limit(0)
     # Long candidates carry more evidence and get more of the error: weights with mean 1.
     weighted = judged.withColumn("log_q", F.col("log_p") - F.log(F.col("n") / F.lit(total["length"])))
     # Benjamini and Hochberg over bins of log p, each taken at its larger end.
@@ -194,8 +201,8 @@ def random_strings(matches: DataFrame, false_share: float = FALSE_SHARE) -> Data
         .first()
     )
     least = passing["bin"] if passing["bin"] is not None else _BINS + 1
-    called = weighted.filter((F.col("bin") >= least) & F.col("noise")).select("token")
-    return stored(called.join(tokens, "token").select("token", F.col("places").alias("n")), "random")
+    called = weighted.filter((F.col("bin") >= least) & F.col("noise")).select("id")
+    return stored(called.join(tokens, "id").select("id", F.col("places").alias("n")), "random")
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,9 +218,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     fixed = matches.filter(F.col("kind").isNull() | (F.col("kind") != "random")).withColumn(
         "good", F.coalesce(F.col("needed") >= needed[F.col("kind")], F.lit(False))
     )
-    others = matches.filter("kind = 'random'")
+    others = matches.filter("kind = 'random'").withColumn("id", _digest("token")).drop("token")
     total = max(1, others.count())
-    added = attach(others, random.withColumn("good", F.lit(True)), ["token"], total, how="left")
+    added = attach(others, random.withColumn("good", F.lit(True)), ["id"], total, how="left")
     order = F.array_position(F.array(*[F.lit(k) for k in (*KINDS, "random")]), F.col("kind"))
     span = F.struct("begin", order.alias("order"), "end", "kind")
     columns = ["row", "doc_id", F.when(F.col("good"), span).alias("span")]
