@@ -33,7 +33,8 @@ def directory(keys: DataFrame, bucket_rows: int = BUCKET_ROWS, max_depth: int =
         "bucket", F.expr("address % cast(pow(2, depth) as int)")
     )
     sizes = levels.groupBy("depth", "bucket").agg(F.sum("n").alias("entries"))
-    fitting = sizes.filter((F.col("entries") <= bucket_rows) | (F.col("depth") == max_depth))
+    # 2 ** (max_depth + 1) rows at most; all addresses meet in the one bucket of depth 0.
+    fitting = F.broadcast(sizes.filter((F.col("entries") <= bucket_rows) | (F.col("depth") == max_depth)))
     # An address stops at the first doubling at which its bucket fits.
     return (
         levels.join(fitting, ["depth", "bucket"])
