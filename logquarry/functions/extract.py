@@ -13,56 +13,23 @@ from logquarry.functions.patterns import DEVICE, FAMILIES
 
 
 def extract_field(line: Column | str, field: str, family: str = "loose") -> Column:
-    """The raw-layer column ``field`` of a line, ``''`` where nothing matches."""
+    """The raw-layer column ``field`` of a line, ``''`` where nothing matches.
+
+    ==================  =====================================================================
+    clientip            strict: a dotted first token before a blank; loose: any first token
+    datetime_confirmed  the time without its zone, so it stays local wall clock
+    method_GET          the first GET, POST or HEAD anywhere in the line
+    request             the path with its leading blank and trailing ``HTTP/1.1"``
+    status_code         three digits between blanks; loose keeps the blanks
+    size                the response size in bytes
+    referer             an https referer: loose the quoted URL, strict what follows ``https``
+    user_agent          strict: from the keyword to the last blank; loose: up to the platform
+    ==================  =====================================================================
+    """
     pattern, group = FAMILIES[family][field]
     return F.regexp_extract(line, pattern, group)
 
 
-def extract_client(line: Column | str, family: str = "loose") -> Column:
-    """Strict: a dotted first token followed by a blank. Loose: the first token of any kind."""
-    return extract_field(line, "clientip", family)
-
-
-def extract_time(line: Column | str, family: str = "loose") -> Column:
-    """The request time as text; its zone is left out, so it stays local wall clock."""
-    return extract_field(line, "datetime_confirmed", family)
-
-
-def extract_method(line: Column | str, family: str = "loose") -> Column:
-    """The first GET, POST or HEAD anywhere in the line."""
-    return extract_field(line, "method_GET", family)
-
-
-def extract_request(line: Column | str, family: str = "loose") -> Column:
-    """The path with its leading blank and trailing ``HTTP/1.1"``."""
-    return extract_field(line, "request", family)
-
-
-def extract_status(line: Column | str, family: str = "loose") -> Column:
-    """Three digits between blanks; the loose family keeps the blanks."""
-    return extract_field(line, "status_code", family)
-
-
-def extract_size(line: Column | str, family: str = "loose") -> Column:
-    """The response size in bytes, as text."""
-    return extract_field(line, "size", family)
-
-
-def extract_referer(line: Column | str, family: str = "loose") -> Column:
-    """An https referer: quoted URL (loose) or the part after ``https`` (strict)."""
-    return extract_field(line, "referer", family)
-
-
-def extract_user_agent_full(line: Column | str) -> Column:
-    """From the agent's keyword to the last whitespace of the line."""
-    return extract_field(line, "user_agent", "strict")
-
-
-def extract_user_agent_short(line: Column | str) -> Column:
-    """The agent up to its platform, with the opening quote."""
-    return extract_field(line, "user_agent", "loose")
-
-
 def extract_device(user_agent: Column | str) -> Column:
     """The platform inside a user agent's parentheses, e.g. ``Linux; Android 6.0``."""
     pattern, group = DEVICE

@@ -87,7 +87,7 @@ def extract_strict(spark, sf_dir):
 
 
 def device(spark, sf_dir):
-    agent = extract.extract_user_agent_full("value")
+    agent = extract.extract_field("value", "user_agent", "strict")
     return (
         event_lines(spark, sf_dir)
         .select("id", agent.alias("user_agent"))
