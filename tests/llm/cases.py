@@ -12,7 +12,7 @@ CLASHING = [
     "spans", "items", "n_words", "score", "lang_pred", "rejected", "draw", "votes", "times", "arc_", "n_tokens",
 ]
 
-LONG = "so it goes on " * 20_000
+LONG = "so it goes on " * 8_000
 ROWS = [
     (1, None, "en", "a", None),
     (2, "", "en", "a", 0),
