@@ -21,7 +21,7 @@ BLOCK_WORDS = 256
 #: The table of sources is held by the driver and broadcast; more of them are refused.
 MAX_SOURCES = 100_000
 #: Rows that are ranked together; longer lists are ranked piece by piece.
-PIECE_ROWS = 20_000
+PIECE_ROWS = 1_000
 PIECE_SLOTS = 65_536
 #: Golden ratio in 32 bits; odd, so the points run through all 2 ** 32 values.
 _GOLDEN = 2_654_435_769
