@@ -23,7 +23,8 @@ from logquarry.llm.common import attach, components, stored, table
 
 RADIUS = 4
 BLOCKS = 3
-#: Trees are fitted on so many fingerprints at most, taken by hash; all rows are indexed.
+#: Trees are fitted on so many fingerprints at most, and a quarter of them, taken by hash; all
+#: are indexed.
 SAMPLE_ROWS = 32_768
 #: Rows of a shard that belong there, aimed at; so many levels at most.
 LEAF_ROWS = 1_000
@@ -153,7 +154,7 @@ def similar_fingerprints(distinct: DataFrame, total: int, radius: int = RADIUS)
     Linked sets are given as stars, at most one link per row and shard, never as all pairs.
     """
     spark = distinct.sparkSession
-    ordered = distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE_ROWS)
+    ordered = distinct.orderBy(F.xxhash64("fp"), "fp").limit(min(SAMPLE_ROWS, total // 4))
     sample = np.array([r.fp for r in ordered.select("fp").collect()], np.int64)
     depth = int(np.clip(np.ceil(np.log2(max(1, total) / LEAF_ROWS)), 0, MAX_DEPTH))
     trees = [fit_tree(_block(sample, t), depth) for t in range(BLOCKS)]
