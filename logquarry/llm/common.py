@@ -95,7 +95,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stored(ordered.distinct(), "edges")
     before = _digest(edges)
     while before[0]:
-        edges = stored(_small_star(_large_star(edges, before[0]), before[0]), "edges")
+        # Each half is stored: nested, their plans would hold a dozen copies of the edges.
+        large = stored(_large_star(edges, before[0]), "edges")
+        edges = stored(_small_star(large, before[0]), "edges")
         now = _digest(edges)
         if now == before:
             break
