@@ -223,14 +223,17 @@ def near_duplicates(
     return attach(prints, known.select("fp", "root", "component_id", "n"), ["fp"], rows)
 
 
-def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", find=near_duplicates
+) -> DataFrame:
     """The row with the smallest id of each group of near duplicates, with all its columns.
 
+    ``find`` says which rows have one ``root``: near_duplicates, or near_copies for the stage.
     Of rows that repeat this id, the one with the smallest hash of its text stays; of rows
     that repeat the text as well, any one. A null id counts as the largest.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("key_")
-    found = near_duplicates(docs, id_col, text_col).withColumnRenamed("doc_id", "id_")
+    found = find(docs, id_col, text_col).withColumnRenamed("doc_id", "id_")
     order = F.struct(F.coalesce("id_", F.lit((1 << 63) - 1)).alias("key_"), F.col("text_hash").alias("hash_"))
     first = found.groupBy("root").agg(F.min(order).alias("first")).select("first.*")
     packed = docs.select(
