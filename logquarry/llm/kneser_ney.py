@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import table
+from logquarry.llm.common import stored, table
 
 ORDER = 4
 #: The models are fitted on about so many rows per language, chosen by hash, and calibrated
 #: on at most a third as many others. Prediction covers all rows.
 SAMPLE_ROWS = 1_200
-#: Languages learned; with more of them, those with the most rows.
-MAX_LANGS = 64
+#: So many languages share arrays of n-grams; with more of them, each portion has its own.
+PORTION_LANGS = 16
 #: Calibration rejects nothing that looks like a labelled row: a winner less likely than
 #: MARGIN times the least likely right winner there (MIN_SCORE at most), or a text whose
 #: cross-entropy lies more standard deviations above that of its language than 1 / MARGIN
@@ -99,7 +99,7 @@ class Models:
 
     def log_p(self, grams: np.ndarray, order: int) -> np.ndarray:
         """Log-probabilities of the last symbols, a row for each n-gram."""
-        if order == 0:
+        if order not in self.keys:
             return np.full((len(grams), len(self.langs)), -math.log(self.vocabulary), np.float32)
         keys = self.keys[order]
         at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
@@ -146,8 +146,23 @@ class Models:
         return float((entropy - self.mean[lang]) / spread)
 
 
-def fit(langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]) -> Models:
-    """Models from the counts of ORDER-grams: for each language sorted keys and how often."""
+@dataclass
+class Portions(Models):
+    """Models of many languages, a portion of them at a time."""
+
+    parts: list[Models] = field(default_factory=list)
+
+    def entropies(self, symbols: np.ndarray) -> np.ndarray:
+        return np.concatenate([part.entropies(symbols) for part in self.parts])
+
+
+def fit(
+    langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]], vocabulary: int | None = None
+) -> Models:
+    """Models from the counts of ORDER-grams: for each language sorted keys and how often.
+
+    ``vocabulary`` is that of all languages, where these are only a portion.
+    """
     models = Models(langs)
     # Below the highest order a count is the number of symbols that an n-gram follows.
     by_order = {ORDER: counts}
@@ -155,7 +170,9 @@ def fit(langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]) -> Models
         by_order[order] = [
             np.unique(keys & _mask(order), return_counts=True) for keys, _ in by_order[order + 1]
         ]
-    models.vocabulary = 1 + len(np.unique(np.concatenate([k for k, _ in by_order[1]])))
+    models.vocabulary = vocabulary or 1 + len(np.unique(np.concatenate([k for k, _ in by_order[1]])))
+    if not any(len(keys) for keys, _ in counts):
+        return models
     for order in range(1, ORDER + 1):
         keys = np.unique(np.concatenate([k for k, _ in by_order[order]]))
         contexts = np.unique(keys >> np.uint64(16))
@@ -218,11 +235,12 @@ def train(
         F.col(text_col).alias("text"),
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)).alias("draw"),
     ).filter("fold <> 0 and lang is not null and text is not null")
-    rows = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    rows = known.groupBy("lang").count().collect()
     langs = sorted(r.lang for r in rows)
     if not langs:
         return Models([])
-    limits = [(langs.index(r["lang"]), r["lang"], SAMPLE_ROWS / r["count"] * (1 << 20)) for r in rows]
+    place = {lang: k for k, lang in enumerate(langs)}
+    limits = [(place[r["lang"]], r["lang"], SAMPLE_ROWS / r["count"] * (1 << 20)) for r in rows]
     chosen = docs.sparkSession.createDataFrame(limits, "k int, lang string, most double")
     sample = known.join(F.broadcast(chosen), "lang").filter("draw < most")
 
@@ -240,17 +258,22 @@ def train(
         .mapInArrow(count, "k int, gram long, n long")
         .groupBy("k", "gram")
         .agg(F.sum("n").alias("n"))
-        .toPandas()
     )
-    counts = []
-    for k in range(len(langs)):
-        own = counted[counted["k"] == k]
-        keys, n = own["gram"].to_numpy(np.int64).view(np.uint64), own["n"].to_numpy(np.int64)
-        order = np.argsort(keys)
-        counts.append((keys[order], n[order]))
-    if not any(len(keys) for keys, _ in counts):
-        return Models([])
-    models = fit(langs, counts)
+    if len(langs) > PORTION_LANGS:
+        counted = stored(counted, "grams")
+        vocabulary = 1 + counted.select(F.col("gram").bitwiseAND(F.lit(0xFFFF))).distinct().count()
+        parts = []
+        for begin in range(0, len(langs), PORTION_LANGS):
+            some = langs[begin : begin + PORTION_LANGS]
+            parts.append(fit(some, _collected(counted, begin, len(some)), vocabulary))
+        if vocabulary == 1:
+            return Models([])
+        models = Portions(langs, vocabulary, parts=parts)
+    else:
+        counts = _collected(counted, 0, len(langs))
+        if not any(len(keys) for keys, _ in counts):
+            return Models([])
+        models = fit(langs, counts)
     shared, name = docs.sparkSession.sparkContext.broadcast(models), uuid4().hex
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,6 +300,17 @@ def train(
     return models
 
 
+def _collected(counted: DataFrame, begin: int, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted n-grams and how often, for each of ``size`` languages from ``begin`` on."""
+    found, out = counted.filter(F.col("k").between(begin, begin + size - 1)).toPandas(), []
+    for k in range(begin, begin + size):
+        own = found[found["k"] == k]
+        keys, n = own["gram"].to_numpy(np.int64).view(np.uint64), own["n"].to_numpy(np.int64)
+        order = np.argsort(keys)
+        out.append((keys[order], n[order]))
+    return out
+
+
 _known: dict[str, Models] = {}
 
 

@@ -1,0 +1,40 @@
+"""More languages than one set of arrays holds: the rarest are learned, too."""
+
+import random
+
+import numpy as np
+
+from logquarry.llm import kneser_ney as K
+from tests.llm.cases import frame
+
+
+def rows_of_languages(count):
+    """Each language has letters of its own; the later ones have fewer rows."""
+    rng, out = random.Random(1), []
+    for k in range(count):
+        letters = [chr(0x4E00 + 20 * k + j) for j in range(12)]
+        for _ in range(14 if k < 64 else 9):
+            words = ["".join(rng.choices(letters, k=rng.randint(2, 6))) for _ in range(40)]
+            out.append((len(out), " ".join(words), f"l{k:03}", "s", 1))
+    return out
+
+
+def test_every_language_is_learned(spark):
+    docs = frame(spark, rows_of_languages(70))
+    models = K.train(docs)
+    assert models.langs == [f"l{k:03}" for k in range(70)]
+    found = K.identify(docs.select("doc_id", "text"), models).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(found) == docs.count()
+    assert all(r.lang_pred == r.lang for r in found)
+
+
+def test_portions_give_the_same(spark, monkeypatch):
+    docs = frame(spark, rows_of_languages(9))
+    whole = K.train(docs)
+    monkeypatch.setattr(K, "PORTION_LANGS", 4)
+    parts = K.train(docs)
+    assert len(parts.parts) == 3 and parts.vocabulary == whole.vocabulary
+    for r in docs.limit(20).collect():
+        symbols = K.symbols_of(r.text)
+        assert np.allclose(parts.entropies(symbols), whole.entropies(symbols))
+        assert parts.judge(r.text)[0] == whole.judge(r.text)[0]
