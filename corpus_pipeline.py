@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from logquarry.llm.common import stored, table
 from logquarry.llm.kneser_ney import keep_identified
 from logquarry.llm.mixing import mixed_documents
-from logquarry.llm.near_copies import near_copies
 from logquarry.llm.ring import shard_rows
 from logquarry.llm.simhash_vptree import one_of_each_group
 from logquarry.llm.wu_manber import remove_contaminated
@@ -19,8 +18,8 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, Jaccard 0.8), the one with the smallest id."""
-    return one_of_each_group(docs, find=near_copies)
+    """One document of each SimHash group (four words, 4 bits), the one with the smallest id."""
+    return one_of_each_group(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
