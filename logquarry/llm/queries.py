@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from logquarry.llm.extendible_hash import OP2_SQL, op2_extendible_hash
+from logquarry.llm.filter_audit import OP13_SQL, op13_filter_diagrams
 from logquarry.llm.fuzzy_lines import op4_fuzzy_lines
 from logquarry.llm.kneser_ney import op9_kneser_ney
 from logquarry.llm.mixing import op3_golden_mix
@@ -24,8 +25,10 @@ QUERIES = {
     "op8_wu_manber": op8_wu_manber,
     "op9_kneser_ney": op9_kneser_ney,
     "op10_weak_labels": op10_weak_labels,
+    "op13_filter_diagrams": op13_filter_diagrams,
 }
 ORACLES = {
     "op2_extendible_hash": OP2_SQL,
     "op8_wu_manber": OP8_SQL,
+    "op13_filter_diagrams": OP13_SQL,
 }
