@@ -12,6 +12,7 @@ from logquarry.llm.secrets import op7_randomness_battery
 from logquarry.llm.simhash_vptree import op1_simhash_vptree
 from logquarry.llm.token_counts import op6_digest_cache
 from logquarry.llm.weak_quality import op10_weak_labels
+from logquarry.llm.whitening import op11_chebyshev_whitening
 from logquarry.llm.wu_manber import OP8_SQL, op8_wu_manber
 
 QUERIES = {
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_wu_manber": op8_wu_manber,
     "op9_kneser_ney": op9_kneser_ney,
     "op10_weak_labels": op10_weak_labels,
+    "op11_chebyshev_whitening": op11_chebyshev_whitening,
     "op13_filter_diagrams": op13_filter_diagrams,
 }
 ORACLES = {
     "op2_extendible_hash": OP2_SQL,
     "op8_wu_manber": OP8_SQL,
+    "op11_chebyshev_whitening": op11_chebyshev_whitening,
     "op13_filter_diagrams": OP13_SQL,
 }
