@@ -5,6 +5,7 @@ from __future__ import annotations
 from logquarry.llm.extendible_hash import OP2_SQL, op2_extendible_hash
 from logquarry.llm.filter_audit import OP13_SQL, op13_filter_diagrams
 from logquarry.llm.fuzzy_lines import op4_fuzzy_lines
+from logquarry.llm.hidden_markov import op12_baum_welch
 from logquarry.llm.kneser_ney import op9_kneser_ney
 from logquarry.llm.mixing import op3_golden_mix
 from logquarry.llm.ring import op5_bounded_ring
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_kneser_ney": op9_kneser_ney,
     "op10_weak_labels": op10_weak_labels,
     "op11_chebyshev_whitening": op11_chebyshev_whitening,
+    "op12_baum_welch": op12_baum_welch,
     "op13_filter_diagrams": op13_filter_diagrams,
 }
 ORACLES = {

@@ -13,7 +13,7 @@ from tests.llm.test_wu_manber import brute
 
 def test_registered():
     numbers = [int(n[2:].split("_")[0]) for n in queries.QUERIES]
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES)
     assert {*queries.QUERIES, "pipeline"} <= set(contract.queries())
     assert contract.queries()["pipeline"] is corpus_pipeline.run
