@@ -18,33 +18,18 @@ WEIGHTS = (5, 2, 1)
 #: A source is repeated so many times at most.
 MAX_PASSES = 3
 BLOCK_WORDS = 256
-#: The table of sources is held by the driver and broadcast; more of them are refused.
-MAX_SOURCES = 100_000
+#: Tables with a row per source are broadcast up to so many sources; beyond, they are joined by shuffles.
+BROADCAST_SOURCES = 20_000
 #: Rows that are ranked together; longer lists are ranked piece by piece.
 PIECE_ROWS = 1_000
 PIECE_SLOTS = 65_536
 #: Golden ratio in 32 bits; odd, so the points run through all 2 ** 32 values.
 _GOLDEN = 2_654_435_769
+#: The points' range is cut into cells, four times as many as sources and no fewer than this.
 _CELLS = 1_024
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
-def targets(sizes: list[int], weights: list[float], passes: int = MAX_PASSES) -> list[float]:
-    """Shares of the sum of ``sizes`` by weight, none above ``passes`` times its size."""
-    out, left = [0.0] * len(sizes), float(sum(sizes))
-    open_ = {k for k, size in enumerate(sizes) if size}
-    while open_:
-        unit = left / sum(weights[k] for k in open_)
-        full = {k for k in open_ if unit * weights[k] > passes * sizes[k]}
-        for k in full or open_:
-            out[k] = float(passes * sizes[k]) if full else unit * weights[k]
-        if not full:
-            break
-        left -= sum(out[k] for k in full)
-        open_ -= full
-    return out
-
-
 def sized_rows(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
     size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(_WORD)).cast("long")
     return docs.select(
@@ -52,36 +37,86 @@ def sized_rows(docs: DataFrame, id_col: str, source_col: str, text_col: str) ->
     )
 
 
-def _sources(rows: DataFrame, weights, passes: int, block: int) -> list[dict]:
-    found = rows.groupBy("source").agg(F.sum("size").alias("words")).limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    found.sort(key=lambda r: (r.source is None, r.source or ""))
-    words = [r.words for r in found]
-    goals = targets(words, [weights[k % len(weights)] for k in range(len(words))], passes)
-    out = []
-    for k, (row, goal) in enumerate(zip(found, goals, strict=True)):
-        quota, blocks = min(int(goal + 0.5), passes * row.words), -(-row.words // block)
-        slots = quota // row.words * blocks + -(-(quota % row.words) // block) if row.words else 0
-        out.append(
-            {"k": k, "source": row.source, "words": row.words, "target": goal}
-            | {"quota": quota, "blocks": blocks, "slots": slots}
+def _unit(sources: DataFrame, passes: int) -> float:
+    """Words per weight at which the targets use up all words.
+
+    Sources that this would give more than ``passes`` times their words are full, and what
+    they leave raises it for the others, until no more of them are full.
+    """
+    cap = F.col("words") * passes
+    unit, before = 0.0, -1
+    while True:
+        full = cap < F.col("weight") * F.lit(unit)
+        found = sources.filter("words > 0").agg(
+            F.sum("words").alias("words"),
+            F.sum(F.when(full, cap).otherwise(0)).alias("used"),
+            F.sum(F.when(full, 0).otherwise(F.col("weight"))).alias("open"),
+            F.sum(F.when(full, 1).otherwise(0)).alias("full"),
+        ).first()
+        if not found.open or found.full == before:
+            return unit
+        unit, before = (found.words - found.used) / found.open, found.full
+
+
+def source_table(rows: DataFrame, weights=WEIGHTS, passes: int = MAX_PASSES, block: int = BLOCK_WORDS) -> DataFrame:
+    """``(k, source, words, target, quota, blocks, slots, until)``, a row per source, stored.
+
+    ``k`` numbers the sources by code point, null last, and they get ``weights`` in turn. The
+    targets share all words by weight, none above ``passes`` times the source's. ``slots`` of
+    the schedule are for the source, ``until`` are for it and those before.
+    """
+    last = F.col("source").isNull()
+    words = rows.groupBy("source").agg(F.sum("size").alias("words"))
+    ranged = words.repartitionByRange(last, "source").sortWithinPartitions(last, "source")
+    ranged = stored(ranged.withColumn("part", F.spark_partition_id()), "sources")
+    # One row for each part.
+    parts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset")))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(last, "source")) - 1
+    turn = F.element_at(F.array(*map(F.lit, weights)), (F.col("k") % len(weights) + 1).cast("int"))
+    known = ranged.withColumn("place", place).join(offsets, "part").withColumn("k", F.col("offset") + F.col("place"))
+    known = stored(known.select("k", "part", "source", "words", turn.alias("weight")), "sources")
+    cap, due = F.col("words") * passes, F.col("weight") * F.lit(_unit(known, passes))
+    target = F.when(F.col("words") == 0, 0.0).otherwise(F.least(cap.cast("double"), due))
+    planned = (
+        known.withColumn("target", target)
+        .withColumn("quota", F.least(F.floor(F.col("target") + 0.5), cap))
+        .withColumn("blocks", F.expr(f"(words + {block - 1}) div {block}"))
+        .withColumn(
+            "slots",
+            F.expr(f"if(words > 0, quota div words * blocks + (quota % words + {block - 1}) div {block}, 0L)"),
         )
-    return out
-
-
-def _schedule(spark, sources: list[dict]) -> DataFrame:
-    """``(slot, k, rank)``: the source of each slot, and the how-manieth of its source it is."""
-    total, cells, low = sum(s["slots"] for s in sources), [], 0
-    share = 0
-    for s in sources:
-        share += s["slots"]
-        high = (share << 32) // max(1, total)
-        width = (1 << 32) // _CELLS
-        cells += [(c, s["k"], low, high) for c in range(low // width, -(-high // width)) if high > low]
-        low = high
+    )
+    sums = planned.groupBy("part").agg(F.sum("slots").alias("n"))
+    offsets = F.broadcast(sums.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset")))
+    inside = Window.partitionBy("part").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = planned.withColumn("inside", F.sum("slots").over(inside)).join(offsets, "part")
+    whole = whole.withColumn("until", F.col("offset") + F.col("inside"))
+    return stored(whole.select("k", "source", "words", "target", "quota", "blocks", "slots", "until"), "sources")
+
+
+def _light(sources: DataFrame, count: int) -> DataFrame:
+    """``sources`` to be broadcast if they are few, else as they are."""
+    return F.broadcast(sources) if count <= BROADCAST_SOURCES else sources
+
+
+def _schedule(sources: DataFrame) -> DataFrame:
+    """``(slot, k, rank)``: the source of each slot, and the how-manieth of its source it is.
+
+    ``sources`` (k, slots, until) have their sums of slots up to and with each of them.
+    """
+    spark = sources.sparkSession
+    sums = sources.agg(F.count(F.lit(1)).alias("n"), F.sum("slots").alias("slots")).first()
+    count, total = sums.n, sums.slots or 0
+    bits = min(32, max(_CELLS - 1, 4 * count).bit_length())
+    point_of = lambda n: F.expr(f"cast(cast({n} as decimal(19, 0)) * 4294967296 div {max(1, total)} as bigint)")
+    width = 1 << (32 - bits)
+    bounds = sources.filter("slots > 0").select("k", point_of("until - slots").alias("low"), point_of("until").alias("high"))
+    numbers = F.expr(f"sequence(low div {width}, (high - 1) div {width})")
     # A row per source and per cell at most.
-    cells = F.broadcast(spark.createDataFrame(cells, "cell long, k int, low long, high long"))
+    cells = bounds.filter("high > low").select("k", "low", "high", F.explode(numbers).alias("cell"))
+    cells = _light(cells, count)
     n = F.col("slot") % (1 << 32)
     # n * golden modulo 2 ** 32, in two halves that do not overflow.
     head = (F.shiftright(n, 16) * _GOLDEN) % (1 << 16) * (1 << 16)
@@ -90,7 +125,7 @@ def _schedule(spark, sources: list[dict]) -> DataFrame:
         spark.range(total)
         .withColumnRenamed("id", "slot")
         .withColumn("point", point)
-        .withColumn("cell", F.shiftright("point", 22))
+        .withColumn("cell", F.shiftright("point", 32 - bits))
         .join(cells, "cell")
         .filter("low <= point and point < high")
         .select("slot", "k", F.shiftright("slot", 16).alias("piece"))
@@ -102,9 +137,7 @@ def _schedule(spark, sources: list[dict]) -> DataFrame:
     ranked = drawn.withColumn("place", place).join(offsets, ["k", "piece"])
     ranked = ranked.select("slot", "k", (F.col("offset") + F.col("place")).alias("rank"))
     # Points miss a source's due number by a few. Ranks beyond it go, missing ones come last.
-    due = F.broadcast(
-        spark.createDataFrame([(s["k"], s["slots"]) for s in sources], "k int, slots long")
-    )
+    due = _light(sources.select("k", "slots"), count)
     late = (
         due.join(drawn.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "k", "left")
         .withColumn("n", F.coalesce("n", F.lit(0)))
@@ -126,12 +159,9 @@ def mix(
     the copies laid end to end) and number of words. Sources by code point, null last, get
     ``weights`` in turn. Rows without words are not taken; an empty table gives none.
     """
-    spark = rows.sparkSession
     rows = stored(rows, "sized")
-    sources = _sources(rows, weights, passes, block)
-    known = "k int, source string, words long, target double, quota long, blocks long"
-    names = [x.split()[0] for x in known.split(", ")]
-    about = F.broadcast(spark.createDataFrame([tuple(s[x] for x in names) for s in sources], known))
+    sources = source_table(rows, weights, passes, block)
+    about = _light(sources.drop("slots", "until"), sources.count())
     same = rows.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("copies"))
     keyed = same.join(about.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     pieces = -(-rows.count() // PIECE_ROWS) or 1
@@ -156,7 +186,7 @@ def mix(
     numbers = F.when(F.col("length") > 0, F.sequence(F.expr(f"begin div {block}"), F.expr(f"(begin + length - 1) div {block}")))
     cut = laid.withColumn("block", F.explode_outer(numbers))
     slots = (
-        _schedule(spark, sources)
+        _schedule(sources)
         .join(about.select("k", "words", "quota", "blocks"), "k")
         .withColumn("block", F.col("rank") % F.col("blocks"))
         .withColumn("done", F.expr(f"(rank div blocks) * words + block * {block}"))

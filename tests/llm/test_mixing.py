@@ -7,14 +7,71 @@ from logquarry.llm import mixing as M
 from tests.llm.cases import SMALL, documents, frame, rows
 
 
-def test_targets():
-    assert M.targets([100, 100, 100], [5, 2, 1]) == [187.5, 75.0, 37.5]
-    # The first stops at three times its size; what is left is shared 2 to 1.
-    assert M.targets([10, 100, 100], [5, 2, 1]) == [30.0, 120.0, 60.0]
-    # Then the second stops as well.
-    assert M.targets([10, 20, 180], [5, 2, 1]) == [30.0, 60.0, 120.0]
-    assert M.targets([0, 5], [5, 2]) == [0.0, 5.0]
-    assert M.targets([], []) == [] and M.targets([0], [1]) == [0.0]
+def targets(sizes, weights, passes=3):
+    """Shares of the sum of sizes by weight, none above ``passes`` times its size, source by source."""
+    out, left = [0.0] * len(sizes), float(sum(sizes))
+    open_ = {k for k, size in enumerate(sizes) if size}
+    while open_:
+        unit = left / sum(weights[k] for k in open_)
+        full = {k for k in open_ if unit * weights[k] > passes * sizes[k]}
+        for k in full or open_:
+            out[k] = float(passes * sizes[k]) if full else unit * weights[k]
+        if not full:
+            break
+        left -= sum(out[k] for k in full)
+        open_ -= full
+    return out
+
+
+@pytest.mark.parametrize(
+    "sizes,want",
+    [
+        ([100, 100, 100], [187.5, 75.0, 37.5]),
+        # The first stops at three times its size; what is left is shared 2 to 1.
+        ([10, 100, 100], [30.0, 120.0, 60.0]),
+        # Then the second stops as well.
+        ([10, 20, 180], [30.0, 60.0, 120.0]),
+        ([0, 5], [0.0, 5.0]),
+        ([], []),
+        ([0], [0.0]),
+    ],
+)
+def test_targets(spark, sizes, want):
+    assert targets(sizes, [5, 2, 1]) == want
+    df = spark.createDataFrame([(i, chr(97 + i), n) for i, n in enumerate(sizes)], "doc_id long, source string, size long")
+    found = sorted(M.source_table(df).collect())
+    assert [r.target for r in found] == pytest.approx(want) and [r.k for r in found] == list(range(len(sizes)))
+
+
+def test_many_sources(spark):
+    """In the order of code points over all parts, null last, with sums of their slots."""
+    names = [f"s{i * 7919 % 3_000}" for i in range(3_000)] + ["\U0001f389", "\uffee", "", None]
+    data = [(i, s, i * i % 400) for i, s in enumerate(names)]
+    found = M.source_table(spark.createDataFrame(data, "doc_id long, source string, size long"), block=16).collect()
+    found.sort(key=lambda r: r.k)
+    order = sorted((n for n in names if n is not None), key=lambda n: n.encode()) + [None]
+    assert [r.source for r in found] == order and [r.k for r in found] == list(range(len(names)))
+    sizes = {s: n for _, s, n in data}
+    want = targets([sizes[n] for n in order], [M.WEIGHTS[k % 3] for k in range(len(order))])
+    assert [r.target for r in found] == pytest.approx(want)
+    until = 0
+    for r in found:
+        quota = min(int(r.target + 0.5), 3 * r.words)
+        assert r.quota == quota and r.blocks == -(-r.words // 16)
+        assert r.slots == (quota // r.words * r.blocks + -(-(quota % r.words) // 16) if r.words else 0)
+        until += r.slots
+        assert r.until == until
+
+
+@pytest.mark.parametrize("folder", ["many", "small"])
+def test_more_sources_than_are_broadcast(spark, monkeypatch, folder):
+    if folder == "many":
+        df = spark.createDataFrame([(i, f"s{i % 500}", i % 90) for i in range(3_000)], "doc_id long, source string, size long")
+    else:
+        df = M.sized_rows(documents(spark), "doc_id", "source", "text")
+    few = [rows(f) for f in M.mix(df)]
+    monkeypatch.setattr(M, "BROADCAST_SOURCES", 0)
+    assert [rows(f) for f in M.mix(df)] == few
 
 
 def test_query(spark):
@@ -30,7 +87,7 @@ def test_query(spark):
         target[r.source] = r.target
     assert all(r.source_size == sizes[r.source] for r in got)
     names = sorted(sizes)
-    want = M.targets([sizes[n] for n in names], [M.WEIGHTS[k % 3] for k in range(len(names))])
+    want = targets([sizes[n] for n in names], [M.WEIGHTS[k % 3] for k in range(len(names))])
     assert [target[n] for n in names] == pytest.approx(want)
     assert sum(target.values()) == pytest.approx(sum(sizes.values()))
     assert all(abs(taken[n] - target[n]) <= 1 for n in names)
@@ -81,19 +138,15 @@ def test_every_stretch_is_near_the_weights(spark):
 
 
 def test_ranks_are_gapless(spark):
-    sources = [{"k": k, "slots": n} for k, n in enumerate((70_000, 3, 131_000, 0, 1))]
-    got = M._schedule(spark, sources).groupBy("k").agg({"rank": "max", "*": "count"}).collect()
+    slots = (70_000, 3, 131_000, 0, 1)
+    data = [(k, n, sum(slots[: k + 1])) for k, n in enumerate(slots)]
+    got = M._schedule(spark.createDataFrame(data, "k long, slots long, until long"))
+    got = got.groupBy("k").agg({"rank": "max", "*": "count"}).collect()
     assert {r.k: (r["max(rank)"], r["count(1)"]) for r in got} == {
         0: (69_999, 70_000), 1: (2, 3), 2: (130_999, 131_000), 4: (0, 1)
     }
 
 
-def test_too_many_sources_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(M, "MAX_SOURCES", 2)
-    with pytest.raises(ValueError, match="sources"):
-        M.mix(M.sized_rows(frame(spark), "doc_id", "source", "text"))
-
-
 def test_documents_as_often_as_taken(spark):
     docs = documents(spark)
     got = Counter(r.doc_id for r in M.mixed_documents(docs).collect())

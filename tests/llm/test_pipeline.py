@@ -5,8 +5,9 @@ from collections import Counter
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from logquarry.llm import kneser_ney, mixing, queries
+from logquarry.llm import kneser_ney, queries
 from tests.llm.cases import SMALL, documents
+from tests.llm.test_mixing import targets
 from tests.llm.test_simhash_vptree import brute_components, brute_print
 from tests.llm.test_wu_manber import brute
 
@@ -54,7 +55,7 @@ def test_stages(spark):
         assert Counter(r.doc_id for r in got.collect()) == Counter(want)
     mixed = found[3].collect()
     names = sorted(sizes)
-    goal = dict(zip(names, mixing.targets([sizes[n] for n in names], [(5, 2, 1)[k % 3] for k in range(len(names))]), strict=True))
+    goal = dict(zip(names, targets([sizes[n] for n in names], [(5, 2, 1)[k % 3] for k in range(len(names))]), strict=True))
     taken, longest = Counter(), Counter()
     for r in mixed:
         assert (r.text, r.lang) == (kept[r.doc_id].text, kept[r.doc_id].lang)
