@@ -2,8 +2,9 @@
 
 The index has one entry per hash and digest. Its directory is what doubling arrives at: a
 bucket with too many entries is split by one more bit of the hash, until it fits or the bits
-run out. Owner tasks hold ranges of buckets; entries with one hash are chained. Texts of
-entries with several rows are then compared byte by byte, which is what decides.
+run out. Owner tasks hold ranges of buckets; entries with one hash are chained. Which row of a
+group stays and how many it has is read from the index, once the texts of the entry's rows have
+been compared byte by byte.
 """
 
 from __future__ import annotations
@@ -84,21 +85,21 @@ def exact_duplicates(
     pick = F.pmod("h", F.lit(1 << PICK_BITS)).cast("int").alias("pick")
     several = F.broadcast(index.filter("n > 1").select(pick).distinct())
     picked = read.withColumn("pick", pick).join(several, "pick", "left_semi")
-    texts = picked.groupBy("h", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
-    compared = (
-        texts.filter("n > 1")
-        .groupBy("h", F.sha2("text", 256).alias("sha"))
-        .agg(
-            F.max("keep_id").alias("keep_id"),
-            F.when(F.count(F.lit(1)) == 1, F.max("n"))
-            .otherwise(F.raise_error(F.lit("two texts with one SHA-256")))
-            .alias("n"),
-        )
+    # What the index says of an entry holds if all rows with its hash and digest have one text.
+    texts = picked.groupBy("h", "text").agg(F.count(F.lit(1)).alias("rows"))
+    compared = texts.groupBy("h", F.sha2("text", 256).alias("sha")).agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("texts")
+    )
+    equal = (F.col("texts") == 1) & (F.col("rows") == F.col("n"))
+    groups = (
+        index.filter("n > 1")
+        .join(compared, ["h", "sha"], "left")
+        .select("h", "sha", "keep_id", F.when(equal, F.col("n")).otherwise(F.raise_error(F.lit("two texts with one SHA-256"))).alias("n"))
     )
     same = entries.groupBy("doc_id", "h", "sha").agg(F.count(F.lit(1)).alias("copies"))
     found = attach(
         same.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))),
-        stored(compared, "compared").withColumn("group_size", F.col("n")),
+        stored(groups, "groups").withColumn("group_size", F.col("n")),
         ["h", "sha"],
         max(1, entries.count()),
         how="left",
