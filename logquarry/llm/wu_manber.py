@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import table
+from logquarry.llm.common import stored, table
 
 WINDOW = 10
 #: Bytes of item text per search. More text takes more searches, each with its own table.
 SEARCH_BYTES = 2_000_000
+#: Searches in one scan; what a scan has found is written before the next one begins.
+SCAN_SEARCHES = 8
 #: Bytes that are no letters or digits become blanks, A-Z become a-z, all others stay.
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
@@ -171,7 +173,8 @@ def find_passages(
     ``spans`` are the disjoint word ranges inside occurrences of a window, ``items`` the ids
     of items with a window that occurs, sorted as strings. A null text has no words; items
     without words, with a null id or text are never found; items may share windows and ids.
-    Rows stay rows, whatever their ids: nothing is joined or grouped, and no row moves.
+    Rows stay rows, whatever their ids: nothing is joined or grouped, and no row moves. Items
+    come by in portions of SEARCH_BYTES; tasks and driver hold SCAN_SEARCHES of them at most.
     """
     spark = docs.sparkSession
     none = F.lit(None)
@@ -182,8 +185,15 @@ def find_passages(
         F.array().cast("array<struct<begin: bigint, end: bigint>>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
+    held = []
     for portion in _portions(benchmark, item_col, item_text_col):
-        found = found.mapInArrow(_finder(spark.sparkContext.broadcast(portion), window), found.schema)
+        if len(held) == SCAN_SEARCHES:
+            found = stored(found, "found")
+            for shared in held:
+                shared.unpersist()
+            held = []
+        held.append(spark.sparkContext.broadcast(portion))
+        found = found.mapInArrow(_finder(held[-1], window), found.schema)
     return found
 
 

@@ -61,9 +61,10 @@ def test_clean_text_is_skipped():
     assert len(looked) < 10_000 / 8
 
 
-@pytest.mark.parametrize("portion", [1, 60, 2_000_000])
-def test_portions_of_a_large_test_set(spark, monkeypatch, portion):
+@pytest.mark.parametrize("portion,scan", [(1, 8), (1, 1), (1, 2), (60, 8), (2_000_000, 8)])
+def test_portions_of_a_large_test_set(spark, monkeypatch, portion, scan):
     monkeypatch.setattr(W, "SEARCH_BYTES", portion)
+    monkeypatch.setattr(W, "SCAN_SEARCHES", scan)
     items = [("i1", "so it goes on " * 4), ("i2", "the QUICK brown"), ("i3", "One"), ("i3", "far away"), ("i4", ""), ("10", "it goes on so it goes on so it goes on so")]
     docs = frame(spark)
     got = W.find_passages(docs, spark.createDataFrame(items, "item_id string, text string")).collect()
