@@ -15,7 +15,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import islice, pairwise
 from uuid import uuid4
 
 import numpy as np
@@ -44,8 +44,10 @@ PRIOR = 1_000.0
 PARTS = 1 << 16
 #: Distinct words that a task counts before it passes them on.
 COUNTED_WORDS = 400_000
+#: Tokens of texts that are looked up together, at the least.
+LOOKED_UP = 100_000
 #: Tokens in memory at a time; longer texts are cut to be learned from, and scored in pieces.
-SLICE_TOKENS = 400_000
+SLICE_TOKENS = 600_000
 PIECE_TOKENS = 1 << 15
 END = 0
 
@@ -126,18 +128,18 @@ def vocabulary(
         if found > known_words:
             break
         least = level.n
-    known = counts.filter(F.col("n") >= F.lit(least)).collect() if least else []
-    known.sort(key=lambda r: (-r.n, r.word))
+    found = counts.filter(F.lit(False) if least is None else F.col("n") >= least).toArrow()
+    known = sorted(zip((-n for n in found.column("n").to_pylist()), found.column("word").to_pylist(), strict=True))
     symbol = F.pmod(F.crc32(F.substring("word", -ENDING, ENDING)), F.lit(SHARED)).alias("symbol")
     rest_n, rest_words = np.zeros(SHARED), np.zeros(SHARED)
     for row in counts.groupBy(symbol).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
         rest_n[row.symbol], rest_words[row.symbol] = row.n, row.words
-    for row in known[:own_words]:
-        rest_n[shared_symbol(bytes(row.word))] -= row.n
-        rest_words[shared_symbol(bytes(row.word))] -= 1
+    for n, word in known[:own_words]:
+        rest_n[shared_symbol(word)] += n
+        rest_words[shared_symbol(word)] -= 1
     return Vocabulary(
-        [bytes(r.word) for r in known],
-        np.array([r.n for r in known], np.int64),
+        [word for _, word in known],
+        np.array([-n for n, _ in known], np.int64),
         min(own_words, len(known)),
         rest_n,
         rest_words,
@@ -187,39 +189,58 @@ def encode(read: DataFrame, known: Vocabulary) -> DataFrame:
     """
     shared, name = read.sparkSession.sparkContext.broadcast(known), uuid4().hex
     first, end = 1 + known.own, np.log10(known.texts + 1.0)
+    names = [x.split()[0] for x in _ENCODED.split(", ")]
+
+    def looked_up(words: list[bytes], counts: np.ndarray) -> list[pa.Array]:
+        places, symbol, logs, inside, rest = _tables(name, shared)
+        texts = len(counts)
+        at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+        row = np.repeat(np.arange(texts), counts)
+        # Long words are known by their digests.
+        missing = np.flatnonzero(at < 0)
+        keys = [word_key(words[i]) for i in missing]
+        at[missing] = [places[k] if k[:1] == b"\n" else -1 for k in keys]
+        keys = [k for k, i in zip(keys, missing, strict=True) if at[i] < 0]
+        seen, missing = at >= 0, np.flatnonzero(at < 0)
+        groups = np.array([shared_symbol(k) for k in keys], np.int64)
+        codes = np.zeros(len(words) + texts, np.uint16)
+        place = np.arange(len(words)) + row
+        codes[place[seen]] = symbol[at[seen]]
+        codes[place[missing]] = first + groups
+        ends = np.cumsum(counts + 1)
+        # Without rows, the sums would be integers.
+        per_text = lambda rows, values: np.bincount(rows, values, texts).astype(float)
+        within = per_text(row[seen], inside[at[seen]]) - per_text(row[missing], rest[groups])
+        rare, times, cuts = [], [], [0]
+        for i, j in pairwise(np.searchsorted(row[missing], np.arange(texts + 1)).tolist()):
+            own = Counter(keys[i:j])
+            rare += own
+            times += own.values()
+            cuts.append(len(rare))
+        offsets = np.concatenate(([0], 2 * ends)).astype(np.int32)
+        cuts = pa.array(cuts, pa.int32())
+        return [
+            pa.array(counts + 1),
+            pa.array(np.bincount(row[seen], minlength=texts) + (known.texts > 0)),
+            pa.array(per_text(row[seen], logs[at[seen]]) + end),
+            pa.array(within),
+            pa.Array.from_buffers(pa.binary(), texts, [None, pa.py_buffer(offsets), pa.py_buffer(codes)]),
+            pa.ListArray.from_arrays(cuts, pa.array(rare, pa.binary())),
+            pa.ListArray.from_arrays(cuts, pa.array(times, pa.int32())),
+        ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, symbol, logs, inside, rest = _tables(name, shared)
-            columns: list[list] = [[] for _ in range(7)]
-            for text in batch.column(4).cast(pa.binary()):
-                words = words_of(text.as_py())
-                at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
-                # Long words are known by their digests.
-                missing = np.flatnonzero(at < 0)
-                keys = [word_key(words[i]) for i in missing]
-                at[missing] = [places[k] if k[:1] == b"\n" else -1 for k in keys]
-                own = at[at >= 0]
-                codes = np.zeros(len(words) + 1, np.uint16)
-                codes[:-1][at >= 0] = symbol[own]
-                rare = [k for k, i in zip(keys, missing, strict=True) if at[i] < 0]
-                groups = np.array([shared_symbol(k) for k in rare], np.int64)
-                codes[:-1][at < 0] = first + groups
-                times = Counter(rare)
-                row = (
-                    len(codes), len(own) + (known.texts > 0), logs[own].sum() + end,
-                    inside[own].sum() - rest[groups].sum(), codes.tobytes(), list(times), list(times.values()),
-                )
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-            kinds = [
-                pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()),
-            ]
-            made = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
-            names = [x.split()[0] for x in _ENCODED.split(", ")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), *made, batch.column(3)], names=names
-            )
+            begin, words, counts = 0, [], []
+            for k, text in enumerate(batch.column(4).cast(pa.binary()), 1):
+                own = words_of(text.as_py())
+                words += own
+                counts.append(len(own))
+                if len(words) >= LOOKED_UP or k == len(batch):
+                    part = batch.slice(begin, k - begin)
+                    made = looked_up(words, np.array(counts, np.int64))
+                    yield pa.RecordBatch.from_arrays([*part.columns[:3], *made, part.column(3)], names=names)
+                    begin, words, counts = k, [], []
 
     return read.select("row", "doc_id", "held_out", "portion", "text").mapInArrow(run, _ENCODED)
 
@@ -234,7 +255,7 @@ def by_portion(encoded: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """First state, next state by state, and symbols by state; ``any`` is where a cut text goes on."""
+    """First state, next state by state, symbols by state; ``any`` is the state a cut text goes on in."""
 
     start: np.ndarray
     step: np.ndarray
@@ -261,33 +282,36 @@ def expected_counts(tokens: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
     ``whole`` goes on from another: its first state is not counted as one.
     """
     emit, step, kind = model.emit, model.step, model.emit.dtype
-    states, one = emit.shape[1], np.ones(emit.shape[1], kind)
+    states, back = len(emit), np.ascontiguousarray(model.step.T)
     active = _active(lengths)
+    # A row per state and a column per sequence, as far as they go.
     forward, scales, ids = [], [], []
-    state = np.where(whole[:, None], model.start, model.any).astype(kind)
+    state = np.where(whole, model.start[:, None], model.any[:, None]).astype(kind)
     for t, m in enumerate(active):
         ids.append(tokens[starts[:m] + t])
-        state = (state if t == 0 else state[:m] @ step) * emit[ids[-1]]
-        scale = state @ one
-        state /= scale[:, None]
-        forward.append(state)
-        scales.append(scale)
+        here = emit.take(ids[-1], axis=1)
+        here *= state if t == 0 else back @ state[:, :m]
+        scales.append(here.sum(axis=0))
+        here /= scales[-1]
+        forward.append(here)
+        state = here
     steps = np.zeros((states, states))
     later = None
     for t in range(len(active) - 1, -1, -1):
-        backward = np.ones((active[t], states), kind)
+        backward = np.ones((states, active[t]), kind)
         if later is not None:
             m = active[t + 1]
-            seen = emit[ids[t + 1]] * later
-            seen /= scales[t + 1][:, None]
-            steps += forward[t][:m].T @ seen
-            backward[:m] = seen @ step.T
+            seen = emit.take(ids[t + 1], axis=1)
+            seen *= later
+            seen /= scales[t + 1]
+            steps += forward[t][:, :m] @ seen.T
+            backward[:, :m] = step @ seen
             forward[t + 1] *= later
         later = backward
     forward[0] *= later
-    first = forward[0][whole].sum(axis=0, dtype=float)
-    symbols, shares = np.concatenate(ids), np.concatenate(forward)
-    emitted = np.stack([np.bincount(symbols, shares[:, k], len(emit)) for k in range(states)], axis=1)
+    first = forward[0][:, whole].sum(axis=1, dtype=float)
+    symbols = np.concatenate(ids).astype(np.intp)
+    emitted = np.stack([np.bincount(symbols, np.concatenate([f[k] for f in forward]), emit.shape[1]) for k in range(states)])
     return first, steps * step, emitted, float(np.log(np.concatenate(scales), dtype=float).sum())
 
 
@@ -319,8 +343,8 @@ def _learned(encoded: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray,
             for some in _slices(sizes):
                 a, b, c, d = expected_counts(tokens, begins[some], sizes[some], place[some] == 0, own)
                 first, steps, emitted, likelihood = first + a, steps + b, emitted + c, likelihood + d
-        used = np.flatnonzero(emitted.any(axis=1))
-        rows = np.vstack((first, steps, np.full(states, likelihood / np.log(10) / states), emitted[used]))
+        used = np.flatnonzero(emitted.any(axis=0))
+        rows = np.vstack((first, steps, np.full(states, likelihood / np.log(10) / states), emitted[:, used].T))
         symbol = np.concatenate((-1 - np.arange(states + 2), used)).astype(np.int32)
         whole = np.rint(rows * PARTS).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(symbol), *map(pa.array, whole.T)], ["symbol", *names])
@@ -332,7 +356,7 @@ def _learned(encoded: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray,
     symbol = found.column("symbol").to_numpy()
     values = np.stack([found.column(n).to_numpy() for n in names], axis=1) / PARTS
     emitted, other = np.zeros(model.emit.shape), np.zeros((states + 2, states))
-    emitted[symbol[symbol >= 0]] = values[symbol >= 0]
+    emitted[:, symbol[symbol >= 0]] = values[symbol >= 0].T
     other[-1 - symbol[symbol < 0]] = values[symbol < 0]
     return other[0], other[1:-1], emitted, float(other[-1].sum())
 
@@ -349,11 +373,11 @@ def train(encoded: DataFrame, known: Vocabulary, states: int = STATES, portions:
     over all rows. Without rows the states are alike.
     """
     plain, random = known.plain(), np.random.default_rng(seed)
-    noise = np.exp(random.standard_normal((known.symbols, states)))
+    noise = np.exp(random.standard_normal((states, known.symbols)))
     model = Model(
         np.full(states, 1 / states),
         _shares(np.ones((states, states)) + np.eye(states) * states / 2, 1),
-        _shares(plain[:, None] * noise, 0),
+        _shares(plain * noise, 1),
         np.full(states, 1 / states),
     )
     learned = encoded.filter("portion >= 0")
@@ -371,21 +395,22 @@ def train(encoded: DataFrame, known: Vocabulary, states: int = STATES, portions:
         model = Model(
             _shares(first + 1, 0),
             _shares(steps + 1, 1),
-            _shares(emitted + PRIOR * plain[:, None], 0),
-            _shares(emitted.sum(axis=0) + 1, 0),
+            _shares(emitted + PRIOR * plain, 1),
+            _shares(emitted.sum(axis=1) + 1, 0),
         )
     return model
 
 
 def _run(tokens: np.ndarray, starts: np.ndarray, lengths: np.ndarray, state: np.ndarray, model: Model):
-    """The scaled forward recursion from the ``state`` before the first token on, with its logs."""
-    one, logs, last = np.ones(len(model.start)), np.zeros(len(starts)), np.zeros(state.shape)
+    """The scaled forward recursion on columns of states, each its first token's, and its logs."""
+    logs, last, back = np.zeros(len(starts)), np.zeros(state.shape), np.ascontiguousarray(model.step.T)
     for t, m in enumerate(_active(lengths)):
-        state = (state if t == 0 else state[:m] @ model.step) * model.emit[tokens[starts[:m] + t]]
-        scale = state @ one
-        state /= scale[:, None]
+        here = model.emit.take(tokens[starts[:m] + t], axis=1)
+        here *= state if t == 0 else back @ state[:, :m]
+        scale = here.sum(axis=0)
+        here /= scale
         logs[:m] += np.log10(scale)
-        last[:m] = state
+        last[:, :m] = state = here
     return last, logs
 
 
@@ -399,15 +424,15 @@ def likelihoods(tokens: np.ndarray, lengths: np.ndarray, model: Model, piece: in
     starts = np.cumsum(lengths) - lengths
     for some in _slices(np.minimum(lengths, piece)):
         begin, size = starts[some], np.minimum(lengths[some], piece)
-        last, out[some] = _run(tokens, begin, size, np.tile(model.start, (len(some), 1)), model)
+        last, out[some] = _run(tokens, begin, size, np.tile(model.start[:, None], len(some)), model)
         for k in np.flatnonzero(lengths[some] > piece):
-            now, at = last[k], some[k]
+            now, at = last[:, k], some[k]
             begins = np.arange(starts[at] + piece, starts[at] + lengths[at], piece)
             sizes = np.minimum(starts[at] + lengths[at] - begins, piece)
             for part in np.array_split(np.arange(len(begins)), max(1, len(begins) // 16)):
                 row = np.repeat(part, states)
-                ends, logs = _run(tokens, begins[row], sizes[row], np.tile(model.step, (len(part), 1)), model)
-                ends, logs = ends.reshape(-1, states, states), logs.reshape(-1, states)
+                ends, logs = _run(tokens, begins[row], sizes[row], np.tile(model.step.T, len(part)), model)
+                ends, logs = ends.T.reshape(-1, states, states), logs.reshape(-1, states)
                 for by_state, log in zip(ends, logs, strict=True):
                     top = log.max()
                     now = (now * 10 ** (log - top)) @ by_state

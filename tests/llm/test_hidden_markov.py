@@ -86,7 +86,7 @@ def plain_score(text, known, model, counts):
             share = (counts.get(key, 0) + 1) / (sum(rest) + len(rest) + 1)
         if k:
             state = [sum(a * model.step[i][j] for i, a in enumerate(state)) for j in range(len(state))]
-        state = [a * model.emit[symbol][j] * share for j, a in enumerate(state)]
+        state = [a * model.emit[j][symbol] * share for j, a in enumerate(state)]
         total += math.log10(sum(state))
         state = [a / sum(state) for a in state]
     return total
@@ -107,7 +107,7 @@ def test_scores_by_loops(spark, own, most):
     portion = F.when(~F.coalesce(left_out(), F.lit(False)), F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)).cast("int")).otherwise(-1)
     read = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.lit(False).alias("held_out"), portion.alias("portion"), "text")
     model = M.train(M.by_portion(M.encode(read, known)), known, 3, 2)
-    for part, axis in ((model.emit, 0), (model.step, 1), (model.start, 0), (model.any, 0)):
+    for part, axis in ((model.emit, 1), (model.step, 1), (model.start, 0), (model.any, 0)):
         assert np.allclose(part.sum(axis=axis), 1) and (part > 0).all()
     want = sorted((repr(k), len(tokens(t)), plain_score(t, known, model, counts)) for k, t in data)
     assert [(repr(r[0]), r[2]) for r in found] == [w[:2] for w in want]
@@ -117,7 +117,7 @@ def test_scores_by_loops(spark, own, most):
 def small_model(rng, states, symbols):
     share = lambda x, axis: x / x.sum(axis=axis, keepdims=True)
     return M.Model(
-        share(rng.random(states), 0), share(rng.random((states, states)), 1), share(rng.random((symbols, states)), 0), share(rng.random(states), 0)
+        share(rng.random(states), 0), share(rng.random((states, states)), 1), share(rng.random((states, symbols)), 1), share(rng.random(states), 0)
     )
 
 
@@ -127,20 +127,20 @@ def test_expected_counts_by_all_paths():
     tokens_ = rng.integers(0, 4, sizes.sum())
     starts, whole = np.cumsum(sizes) - sizes, np.array([True, False, True, True])
     first, steps, emitted, likelihood = M.expected_counts(tokens_, starts, sizes, whole, model)
-    first_, steps_, emitted_, likelihood_ = np.zeros(3), np.zeros((3, 3)), np.zeros((4, 3)), 0.0
+    first_, steps_, emitted_, likelihood_ = np.zeros(3), np.zeros((3, 3)), np.zeros((3, 4)), 0.0
     for begin, size, full in zip(starts, sizes, whole, strict=True):
         seen, paths = tokens_[begin : begin + size], {}
         for path in product(range(3), repeat=int(size)):
             p = (model.start if full else model.any)[path[0]]
             for k, z in enumerate(path):
-                p *= model.emit[seen[k], z] * (model.step[path[k - 1], z] if k else 1)
+                p *= model.emit[z, seen[k]] * (model.step[path[k - 1], z] if k else 1)
             paths[path] = p
         total = sum(paths.values())
         likelihood_ += math.log(total)
         for path, p in paths.items():
             first_[path[0]] += p / total * full
             for k, z in enumerate(path):
-                emitted_[seen[k], z] += p / total
+                emitted_[z, seen[k]] += p / total
                 if k:
                     steps_[path[k - 1], z] += p / total
     for a, b in ((first, first_), (steps, steps_), (emitted, emitted_)):
@@ -157,7 +157,7 @@ def test_rounds_raise_the_likelihood():
         first, steps, emitted, likelihood = M.expected_counts(tokens_, np.cumsum(sizes) - sizes, sizes, np.ones(50, bool), model)
         assert likelihood >= before
         before = likelihood
-        model = M.Model(first / first.sum(), steps / steps.sum(axis=1, keepdims=True), emitted / emitted.sum(axis=0), model.any)
+        model = M.Model(first / first.sum(), steps / steps.sum(axis=1, keepdims=True), emitted / emitted.sum(axis=1, keepdims=True), model.any)
 
 
 @pytest.mark.parametrize("piece", [1, 2, 7, 50, 1 << 15])
@@ -169,7 +169,7 @@ def test_likelihoods_of_long_texts_are_exact(piece):
     for size in sizes:
         state, total = model.start, 0.0
         for k in range(size):
-            state = (state @ model.step if k else state) * model.emit[tokens_[at + k]]
+            state = (state @ model.step if k else state) * model.emit[:, tokens_[at + k]]
             total += math.log10(state.sum())
             state = state / state.sum()
         want.append(total)
