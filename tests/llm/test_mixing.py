@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from logquarry.llm import mixing as M
-from tests.llm.cases import SMALL, documents, frame, rows
+from tests.llm.cases import SMALL, documents, rows
 
 
 def targets(sizes, weights, passes=3):
