@@ -12,6 +12,7 @@ occurrence stays.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +42,10 @@ MAP_BITS = 27
 PICK_BITS = 20
 #: Bytes of lines that are hashed together.
 PART_BYTES = 1 << 19
-#: What differs between longer lines is bounded by aligned words, not measured.
+#: Longer lines are measured by themselves; results do not hang on it.
 LONG_CHARS = 1 << 15
+#: Columns of a table of edits that are worked on over the same rows.
+STRIP = 2048
 
 #: The first 256 characters, with blanks for all but letters, digits and line ends.
 _LATIN = bytes(c if chr(c).isalnum() or c == 10 else 32 for c in range(256))
@@ -335,24 +338,35 @@ def _edits(x: str, y: str, most: int) -> int:
     """The edits between two texts, or more than ``most``; a column of the table is a few numbers.
 
     Bit k of ``up`` and ``down`` says that the column rises or falls by one from row k to the next.
+    A strip of columns has only the rows that so few edits reach; what is above them is taken to
+    rise from column to column and what is below from row to row, which is never too little.
     """
     x, y = sorted((x, y), key=len)
-    at: dict[str, int] = {}
-    for k, c in enumerate(x):
-        at[c] = at.get(c, 0) | 1 << k
-    every, last = (1 << len(x)) - 1, 1 << (len(x) - 1) if x else 0
-    up, down, edits, left = every, 0, len(x), len(y)
-    for c in y:
-        same = at.get(c, 0)
-        stay = (((same & up) + up) ^ up) | same
-        right, back = down | (every & ~(stay | up)), up & stay
-        edits += bool(right & last) - bool(back & last)
-        left -= 1
-        if edits - left > most:
+    extra = len(y) - len(x)
+    if extra > most or not x:
+        return extra
+    below, above = (most - extra) // 2, (most + extra + 1) // 2
+    codes = np.frombuffer(x.encode("utf-32-le"), np.uint32)
+    up, down, edits, first, after = 0, 0, 0, 0, 0
+    for begin in range(0, len(y), STRIP):
+        strip = y[begin : begin + STRIP]
+        top, bottom = max(0, begin - above), min(len(x), begin + STRIP + below)
+        up, down = up >> (top - first) | ((1 << (bottom - after)) - 1) << (after - top), down >> (top - first)
+        edits += bottom - after
+        first, after = top, bottom
+        own = codes[first:after]
+        at = {c: int.from_bytes(np.packbits(own == ord(c), bitorder="little").tobytes(), "little") for c in set(strip)}
+        every, last = (1 << len(own)) - 1, 1 << (len(own) - 1)
+        for c in strip:
+            same = at[c]
+            stay = (((same & up) + up) ^ up) | same
+            right, back = down | (every & ~(stay | up)), up & stay
+            edits += bool(right & last) - bool(back & last)
+            right, back, kept = right << 1 | 1, back << 1, same | down
+            up, down = (back | ~(kept | right)) & every, right & kept & every
+        if edits - up.bit_count() > most:
             return most + 1
-        right, back, kept = right << 1 | 1, back << 1, same | down
-        up, down = (back | ~(kept | right)) & every, right & kept & every
-    return edits if x else len(y)
+    return edits
 
 
 def _aligned(x: str, y: str) -> int:
@@ -371,7 +385,7 @@ def _aligned(x: str, y: str) -> int:
     ends: list[int] = []
     back: list[int] = []
     for n, (_, j) in enumerate(both):
-        k = int(np.searchsorted(tops, j))
+        k = bisect_left(tops, j)
         back.append(ends[k - 1] if k else -1)
         if k == len(tops):
             tops.append(j)
@@ -402,9 +416,7 @@ def are_similar(x: str, y: str, similarity: float) -> bool:
     if abs(len(x) - len(y)) > most:
         return False
     # Many similar lines differ in a few words.
-    if _aligned(x, y) <= most:
-        return True
-    return max(len(x), len(y)) <= LONG_CHARS and _edits(x, y, most) <= most
+    return _aligned(x, y) <= most or _edits(x, y, most) <= most
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
