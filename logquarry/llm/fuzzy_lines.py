@@ -17,11 +17,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logquarry.llm.common import attach, components, stored, table
+from logquarry.llm.edit_limits import within
 
 SIMILARITY = 0.8
 #: Bits of a print, cut into blocks of BLOCK_BITS: prints within BLOCKS - 1 bits agree on one.
@@ -42,8 +44,10 @@ MAP_BITS = 27
 PICK_BITS = 20
 #: Bytes of lines that are hashed together.
 PART_BYTES = 1 << 19
-#: Longer lines are measured by themselves; results do not hang on it.
-LONG_CHARS = 1 << 15
+#: Bytes of pairs that are compared together; those that differ in more characters are compared
+#: alone, which is faster for them and gives the same.
+PORTION_BYTES = 1 << 23
+LONG_CHARS = 1 << 13
 #: Columns of a table of edits that are worked on over the same rows.
 STRIP = 2048
 
@@ -404,19 +408,28 @@ def _aligned(x: str, y: str) -> int:
     return total
 
 
+def verdicts(xs: list[str], ys: list[str], similarity: float) -> np.ndarray:
+    """Per pair, whether the edits are few enough; common ends do not count."""
+    most = np.array([int((1 - similarity) * max(len(x), len(y)) + 1e-9) for x, y in zip(xs, ys, strict=True)], np.int64)
+    rest = []
+    for x, y in zip(xs, ys, strict=True):
+        head = _common(x, y)
+        x, y = x[head:], y[head:]
+        tail = _common(x[::-1], y[::-1])
+        rest.append((x[: len(x) - tail], y[: len(y) - tail]))
+    long = np.array([max(len(x), len(y)) > LONG_CHARS for x, y in rest], bool)
+    found, short = np.zeros(len(rest), bool), np.flatnonzero(~long)
+    found[short] = within([rest[k][0] for k in short], [rest[k][1] for k in short], most[short])
+    for k in np.flatnonzero(long):
+        x, y = rest[k]
+        if abs(len(x) - len(y)) <= most[k]:
+            # Many similar lines differ in a few words.
+            found[k] = max(len(x), len(y)) <= most[k] or _aligned(x, y) <= most[k] or _edits(x, y, int(most[k])) <= most[k]
+    return found
+
+
 def are_similar(x: str, y: str, similarity: float) -> bool:
-    """Whether the edits are few enough; common ends do not count."""
-    most = int((1 - similarity) * max(len(x), len(y)) + 1e-9)
-    head = _common(x, y)
-    x, y = x[head:], y[head:]
-    tail = _common(x[::-1], y[::-1])
-    x, y = x[: len(x) - tail], y[: len(y) - tail]
-    if max(len(x), len(y)) <= most:
-        return True
-    if abs(len(x) - len(y)) > most:
-        return False
-    # Many similar lines differ in a few words.
-    return _aligned(x, y) <= most or _edits(x, y, most) <= most
+    return bool(verdicts([x], [y], similarity)[0])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -426,9 +439,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = zip(batch.column(2), batch.column(3), strict=True)
-            found = [are_similar(x.as_py(), y.as_py(), similarity) for x, y in both]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(found, pa.bool_()))
+            # Portions of some characters; at least one pair.
+            sizes = pc.add(pc.binary_length(batch.column(2)), pc.binary_length(batch.column(3)))
+            portions = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64)) // PORTION_BYTES
+            edges = [*np.unique(portions, return_index=True)[1].tolist(), len(portions)]
+            for begin, end in zip(edges, edges[1:], strict=False):
+                part = batch.slice(begin, end - begin)
+                found = verdicts(part.column(2).to_pylist(), part.column(3).to_pylist(), similarity)
+                yield pa.RecordBatch.from_arrays(part.columns[:2], names=["a", "b"]).filter(pa.array(found, pa.bool_()))
 
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y")
     return stored(both.mapInArrow(run, "a long, b long"), "similar")

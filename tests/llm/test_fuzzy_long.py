@@ -1,9 +1,12 @@
 """Verdicts of op4 on long lines, and on many pairs at once."""
 
 import random
+import time
 
+import numpy as np
 import pytest
 
+from logquarry.llm import edit_limits
 from logquarry.llm import fuzzy_lines as L
 from tests.llm.cases import frame
 from tests.llm.test_fuzzy_lines import edits
@@ -45,3 +48,47 @@ def test_strips_by_rows(monkeypatch, strip):
         for most in (0, 2, len(x) // 3, 100):
             got = L._edits(x, y, most)
             assert got == n if n <= most else got > most
+
+
+def mixed(rng, letters, n):
+    """Two texts of about n characters, anything from equal to unrelated."""
+    x, p = rng.choices(letters, k=n), rng.choice([0, 0.05, 0.15, 0.2, 0.25, 0.5, 1])
+    y = []
+    for c in x:
+        change = rng.randrange(3) if rng.random() < p else 3
+        y += {0: [rng.choice(letters)], 1: [c, rng.choice(letters)], 2: [], 3: [c]}[change]
+    k = rng.choice([0, 0, 0, rng.randint(0, len(y))])
+    return "".join(x), "".join(y[k:] + y[:k])
+
+
+@pytest.mark.parametrize(("steps", "words", "look"), [(1 << 13, 1 << 22, 32), (8, 1 << 22, 1), (64, 500, 5)])
+def test_many_pairs_at_once(monkeypatch, steps, words, look):
+    for name, value in (("STEP_WORDS", steps), ("TABLE_WORDS", words), ("LOOK", look)):
+        monkeypatch.setattr(edit_limits, name, value)
+    rng = random.Random(steps)
+    sizes = [0, 1, 2, 5, 30, 63, 64, 65, 127, 128, 129, 200, 321]
+    pairs = [mixed(rng, rng.choice(["ab", "abcde ", "abcdefghijklmnopqrstuvwxyzäé🎉 "]), rng.choice(sizes)) for _ in range(400)]
+    xs, ys = zip(*pairs, strict=True)
+    n = np.array([edits(x, y) for x, y in pairs])
+    for share in (0, 0.05, 0.2, 0.6, 1):
+        most = np.array([int(share * max(len(x), len(y)) + 1e-9) for x, y in pairs])
+        assert (edit_limits.within(list(xs), list(ys), most) == (n <= most)).all()
+    assert edit_limits.within(list(xs), list(ys), n).all()
+    assert not edit_limits.within(list(xs), list(ys), n - 1).any()
+    assert edit_limits.within([], [], np.zeros(0)).tolist() == []
+
+
+def test_unlike_pairs_are_settled_together():
+    """Pairs that share half their words were compared one by one, 1 ms each."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5))
+    xs, ys = [], []
+    for _ in range(1_500):
+        words = [word() for _ in range(90)]
+        xs.append(" ".join(words))
+        ys.append(" ".join(w if k % 10 < 5 else word() for k, w in enumerate(words)))
+    begin = time.process_time()
+    alone = [L._edits(x, y, 107) <= 107 for x, y in zip(xs, ys, strict=True)]
+    middle = time.process_time()
+    assert L.verdicts(xs, ys, 0.8).tolist() == alone
+    assert time.process_time() - middle < 0.5 * (middle - begin)
