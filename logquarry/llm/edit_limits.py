@@ -5,7 +5,8 @@ say where it rises or falls by one from row to row. All pairs of a block take a
 in which word w works on column ``step - w``, as it needs what the word above passed on. Only
 words in the band that so few edits can reach are worked on (Ukkonen 1985); what lies outside
 it is taken for more than it may be, so nothing is found that is not there. A pair leaves the
-block when no way on is left within its limit.
+block when no way on is left within its limit. Pairs whose characters alone need more edits, in
+whatever order they stand, never enter one.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ STEP_WORDS = 1 << 13
 TABLE_WORDS = 1 << 22
 #: Steps between two looks for pairs that are settled.
 LOOK = 32
+#: Kinds that characters are counted by; texts that are counted together.
+KINDS = 64
+COUNTED = 1 << 7
 
 _ALL = np.uint64((1 << 64) - 1)
 _ONE, _TOP = np.uint64(1), np.uint64(63)
@@ -121,6 +125,24 @@ def _block(xs: list[str], ys: list[str], most: np.ndarray) -> np.ndarray:
     return found
 
 
+def _counts(texts: list[str]) -> np.ndarray:
+    """Per text, how many of its characters are of each kind."""
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    place = np.repeat(np.arange(0, len(texts) * KINDS, KINDS), [len(t) for t in texts])
+    place += flat & np.uint32(KINDS - 1)
+    return np.bincount(place, minlength=len(texts) * KINDS).reshape(-1, KINDS)
+
+
+def _least(xs: list[str], ys: list[str]) -> np.ndarray:
+    """Per pair, a lower bound of the edits: one takes a character of one kind away, adds one, or both."""
+    out = np.zeros(len(xs), np.int64)
+    for begin in range(0, len(xs), COUNTED):
+        part = slice(begin, begin + COUNTED)
+        more = _counts(xs[part]) - _counts(ys[part])
+        out[part] = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+    return out
+
+
 def within(xs: list[str], ys: list[str], most: np.ndarray) -> np.ndarray:
     """Per pair, whether its texts are ``most`` edits apart or fewer, exactly."""
     pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(xs, ys, strict=True)]
@@ -129,6 +151,7 @@ def within(xs: list[str], ys: list[str], most: np.ndarray) -> np.ndarray:
     found = sizes[:, 1] <= most
     near = ~found & (sizes[:, 1] - sizes[:, 0] <= most) & (sizes[:, 0] > 0)
     order = np.flatnonzero(near)
+    order = order[_least([pairs[k][0] for k in order], [pairs[k][1] for k in order]) <= most[order]]
     order = order[np.argsort(sizes[order, 1], kind="stable")]
     kinds = len(set().union(*(pairs[k][0] for k in order))) + 1
     begin = 0

@@ -92,3 +92,24 @@ def test_unlike_pairs_are_settled_together():
     middle = time.process_time()
     assert L.verdicts(xs, ys, 0.8).tolist() == alone
     assert time.process_time() - middle < 0.5 * (middle - begin)
+
+
+def test_pairs_of_other_characters_are_not_compared(monkeypatch):
+    """Lines that share a passage but not the characters of the rest were compared all the same."""
+    rng = random.Random(6)
+    passage = "".join(rng.choices("abcdefgh ", k=300))
+    own = ["".join(rng.choices(letters, k=300)) for letters in ("ijklmn ", "opqrst ", "éêçà🎉 ")]
+    xs, ys = zip(*[(passage + own[i], passage + own[j]) for i in range(3) for j in range(3) if i != j], strict=True)
+    monkeypatch.setattr(edit_limits, "_block", lambda *_: pytest.fail("compared"))
+    assert not L.verdicts(list(xs), list(ys), 0.8).any()
+
+
+@pytest.mark.parametrize("counted", [1, 3, 1 << 7])
+def test_characters_never_count_too_much(monkeypatch, counted):
+    monkeypatch.setattr(edit_limits, "COUNTED", counted)
+    rng = random.Random(counted)
+    # Of these, "!" and "a" are of one kind, as are "🎉" and "É".
+    pairs = [mixed(rng, rng.choice(["ab", "a!É🎉\ud800", "abcde "]), rng.choice([0, 1, 2, 30, 65])) for _ in range(200)]
+    least = edit_limits._least(*map(list, zip(*pairs, strict=True)))
+    assert all(abs(len(x) - len(y)) <= k <= edits(x, y) for k, (x, y) in zip(least, pairs, strict=True))
+    assert edit_limits._least(["aab", "", "xy"], ["abb", "abc", "yx"]).tolist() == [1, 3, 0]
