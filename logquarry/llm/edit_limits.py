@@ -7,20 +7,35 @@ words in the band that so few edits can reach are worked on (Ukkonen 1985); what
 it is taken for more than it may be, so nothing is found that is not there. A pair leaves the
 block when no way on is left within its limit. Pairs whose characters alone need more edits, in
 whatever order they stand, never enter one.
+
+Pairs of texts that meet many others (``Texts``) are first ruled out by lower bounds: by their
+characters, then window by window. A window is 64 characters of the shorter text; the least edits
+between it and any part of the other that is in its reach add up, as windows do not overlap.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 #: Words that are worked on in a step, and words of a block's table of characters.
 STEP_WORDS = 1 << 13
 TABLE_WORDS = 1 << 22
+#: Fewer pairs than this are compared one by one where a block would take as many steps for them.
+FEW_PAIRS = 32
 #: Steps between two looks for pairs that are settled.
 LOOK = 32
 #: Kinds that characters are counted by; texts that are counted together.
 KINDS = 64
 COUNTED = 1 << 7
+#: Rows of a window, the longest texts that are cut into some, pairs whose windows are compared
+#: together, and how few are left to the table of edits. Pairs whose counts are compared together.
+ROWS = 64
+WINDOWED = 1 << 11
+LANES = 1 << 13
+FEW_LANES = 1 << 7
+WEIGHED = 1 << 10
 
 _ALL = np.uint64((1 << 64) - 1)
 _ONE, _TOP = np.uint64(1), np.uint64(63)
@@ -143,8 +158,8 @@ def _least(xs: list[str], ys: list[str]) -> np.ndarray:
     return out
 
 
-def within(xs: list[str], ys: list[str], most: np.ndarray) -> np.ndarray:
-    """Per pair, whether its texts are ``most`` edits apart or fewer, exactly."""
+def within(xs: list[str], ys: list[str], most: np.ndarray, alone: Callable[[str, str, int], bool] | None = None) -> np.ndarray:
+    """Per pair, whether its texts are ``most`` edits apart or fewer, exactly; ``alone`` tells it for those few in a block."""
     pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(xs, ys, strict=True)]
     most = np.asarray(most, np.int64)
     sizes = np.array([(len(x), len(y)) for x, y in pairs], np.int64).reshape(-1, 2)
@@ -156,12 +171,106 @@ def within(xs: list[str], ys: list[str], most: np.ndarray) -> np.ndarray:
     kinds = len(set().union(*(pairs[k][0] for k in order))) + 1
     begin = 0
     while begin < len(order):
-        # Up to twice as long: the others are out of the block by then.
-        longer = int(np.searchsorted(sizes[order, 1], 2 * sizes[order[begin], 1] + 32, side="right"))
+        # Of like length if a block is a quarter full by that, or up to twice as long.
+        like, longer = (int(np.searchsorted(sizes[order, 1], k * sizes[order[begin], 1] + 32, side="right")) for k in (1.2, 2))
         own = int(sizes[order[begin], 1]) // 64 + 1
-        band = int(most[order[begin:longer]].max()) // 64 + 2
+        band = int(most[order[begin:like]].max()) // 64 + 2
         size = max(1, min(STEP_WORDS // min(own, band), TABLE_WORDS // (own * kinds)))
-        chosen = order[begin : min(begin + size, longer)]
-        found[chosen] = _block([pairs[k][0] for k in chosen], [pairs[k][1] for k in chosen], most[chosen])
+        chosen = order[begin : min(begin + size, max(like, min(longer, begin + size // 4)))]
+        if alone and len(chosen) < FEW_PAIRS:
+            found[chosen] = [alone(*pairs[k], int(most[k])) for k in chosen]
+        else:
+            found[chosen] = _block([pairs[k][0] for k in chosen], [pairs[k][1] for k in chosen], most[chosen])
         begin += len(chosen)
     return found
+
+
+class Texts:
+    """Texts of which many pairs are to be ruled out: characters by kinds, the commonest apart, and their counts."""
+
+    def __init__(self, texts: list[str]) -> None:
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        often = np.bincount(codes, minlength=KINDS)
+        kinds = np.full(len(often), KINDS - 1, np.uint8)
+        kinds[np.argsort(-often, kind="stable")[: KINDS - 1]] = np.arange(KINDS - 1)
+        self.flat = kinds[codes]
+        self.counts = np.empty((len(texts), KINDS), np.int32)
+        for begin in range(0, len(texts), COUNTED):
+            own = self.sizes[begin : begin + COUNTED]
+            place = np.repeat(np.arange(0, len(own) * KINDS, KINDS), own)
+            place += self.flat[self.begins[begin] : self.begins[begin] + own.sum()]
+            self.counts[begin : begin + COUNTED] = np.bincount(place, minlength=len(own) * KINDS).reshape(-1, KINDS)
+
+    def _by_counts(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Which pairs the counts of characters leave; see ``_least``."""
+        left = np.zeros(len(a), bool)
+        for begin in range(0, len(a), WEIGHED):
+            part = slice(begin, begin + WEIGHED)
+            more = self.counts[a[part]] - self.counts[b[part]]
+            net = self.sizes[a[part]] - self.sizes[b[part]]
+            # What one has more and what the other has more differ by the lengths.
+            left[part] = (np.abs(more, out=more).sum(axis=1) + np.abs(net)) // 2 <= most[part]
+        return left
+
+    def _windows(self, x_at: np.ndarray, y_at: np.ndarray, columns: int) -> np.ndarray:
+        """Per pair, the least edits between the window at ``x_at`` and any part of so many columns from ``y_at``, or fewer.
+
+        Columns that are beyond a pair's reach, even in other texts, can only find fewer edits.
+        """
+        own, which = np.unique(x_at, return_inverse=True)
+        table, place = np.zeros(len(own) * KINDS, np.uint64), np.arange(0, len(own) * KINDS, KINDS)
+        for row in range(ROWS):
+            table[place + self.flat.take(own + row)] |= np.uint64(1 << row)
+        base, place = which * KINDS, y_at.copy()
+        up, down = np.full(len(base), _ALL), np.zeros(len(base), np.uint64)
+        now, least = np.full(len(base), ROWS, np.int64), np.full(len(base), ROWS, np.int64)
+        kind, rises, stay = np.empty(len(base), np.int64), np.empty_like(up), np.empty_like(up)
+        for _ in range(columns):
+            np.add(base, self.flat.take(place, mode="clip"), out=kind)
+            same = table.take(kind)
+            place += 1
+            np.bitwise_or(same, down, out=stay)
+            right = same & up
+            right += up
+            right ^= up
+            right |= same
+            np.bitwise_or(right, up, out=rises)
+            np.invert(rises, out=rises)
+            rises |= down
+            falls = np.bitwise_and(up, right, out=right)
+            now += (rises >> _TOP).view(np.int64)
+            now -= (falls >> _TOP).view(np.int64)
+            np.minimum(least, now, out=least)
+            rises <<= _ONE
+            falls <<= _ONE
+            np.bitwise_and(rises, stay, out=down)
+            rises |= stay
+            np.invert(rises, out=rises)
+            np.bitwise_or(falls, rises, out=up)
+        return least
+
+    def left(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Which of the pairs may be ``most`` edits apart or fewer: all that are, and few others."""
+        kept = np.flatnonzero(self._by_counts(a, b, most))
+        a, b, most = a[kept], b[kept], most[kept]
+        x, y = np.where(self.sizes[a] <= self.sizes[b], a, b), np.where(self.sizes[a] <= self.sizes[b], b, a)
+        m, n = self.sizes[x], self.sizes[y]
+        below, above = (most - (n - m)) // 2, (most + n - m + 1) // 2
+        total, on, k = np.zeros(len(x), np.int64), np.flatnonzero((m >= ROWS) & (n <= WINDOWED)), 0
+        while len(on) > FEW_LANES:
+            # From both ends inwards.
+            at = np.full(len(on), k // 2 * ROWS) if k % 2 == 0 else m[on] - (k // 2 + 1) * ROWS
+            begins, ends = np.maximum(at - below[on], 0), np.minimum(at + ROWS + above[on], n[on])
+            order = np.argsort(ends - begins, kind="stable")
+            columns, after = (ends - begins)[order], 0
+            while after < len(order):
+                begin, like = after, int(np.searchsorted(columns, 1.2 * columns[after] + 16, side="right"))
+                after = min(begin + LANES, max(like, begin + LANES // 8))
+                lanes = order[begin:after]
+                own = on[lanes]
+                total[own] += self._windows(self.begins[x[own]] + at[lanes], self.begins[y[own]] + begins[lanes], int(columns[min(after, len(order)) - 1]))
+            k += 1
+            on = on[(m[on] // ROWS > k) & (total[on] <= most[on])]
+        return kept[total <= most]

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logquarry.llm.common import attach, components, stored, table
-from logquarry.llm.edit_limits import within
+from logquarry.llm.edit_limits import Texts, within
 
 SIMILARITY = 0.8
 #: Bits of a print, cut into blocks of BLOCK_BITS: prints within BLOCKS - 1 bits agree on one.
@@ -39,15 +39,24 @@ SEEDS = 6
 #: without each of these.
 FEW_WORDS = 10
 FEW_CHARS = 14
-#: Bits of the map of keys that several lines have, and of that of texts looked up again.
+#: Bits of the map of keys that several lines have, and of that of places where lines are looked up
+#: again; places of a text are told apart by multiples of a number.
 MAP_BITS = 27
-PICK_BITS = 20
+PICK_BITS = 25
+PLACE_ODD = 0x9E3779B1
 #: Bytes of lines that are hashed together.
 PART_BYTES = 1 << 19
 #: Bytes of pairs that are compared together; those that differ in more characters are compared
 #: alone, which is faster for them and gives the same.
 PORTION_BYTES = 1 << 23
 LONG_CHARS = 1 << 13
+#: Lines of a key that are compared by one task, with as many others; rows of a task, and rows,
+#: bytes and pairs that it works on at once.
+BLOCK_LINES = 1 << 10
+TASK_ROWS = 1 << 14
+GATHERED_ROWS = 1 << 15
+GATHERED_BYTES = 1 << 25
+GATHERED_PAIRS = 1 << 20
 #: Columns of a table of edits that are worked on over the same rows.
 STRIP = 2048
 
@@ -302,23 +311,28 @@ def _near(a: str, b: str, similarity: float) -> Column:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(h, norm)`` of the ``wanted`` lines (h, text_hash), each from the text where it is first.
+    """``(h, norm)`` of the ``wanted`` lines (h, text_hash and, if it is known, pos), each from the text where it is first.
 
-    Two maps of bits pick the texts, so most are not even split, and then the lines.
+    A map of bits picks their places, so most lines are not even normalised.
     """
-    spark = docs.sparkSession
-    maps = [spark.sparkContext.broadcast(_bitmap(wanted, c, PICK_BITS)) for c in ("text_hash", "h")]
+    # Without places, all lines of a text are looked at.
+    odd = PLACE_ODD if "pos" in wanted.columns else 0
+    place = F.col("text_hash").bitwiseXOR(F.col("pos").cast("long") * odd if odd else F.lit(0)).alias("place")
+    places = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(place), "place", PICK_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, norms = [], []
-            chosen = np.flatnonzero(_marked(maps[0].value, batch.column(0).to_numpy()))
-            for text in batch.column(1).take(pa.array(chosen)):
-                lines = [n for n in normalised(text.as_py()) if n]
-                found = np.array([line_hash(n) for n in lines], np.int64)
-                for k in np.flatnonzero(_marked(maps[1].value, found)) if len(lines) else ():
-                    hashes.append(found[k])
-                    norms.append(lines[k])
+            texts = batch.column(1)
+            sizes = pc.add(pc.count_substring(texts, "\n"), 1).to_numpy().astype(np.int64)
+            ends = np.cumsum(sizes)
+            pos = np.arange(sizes.sum()) - np.repeat(ends - sizes, sizes)
+            picked = np.flatnonzero(_marked(places.value, np.repeat(batch.column(0).to_numpy(), sizes) ^ pos * odd))
+            owner, pos = np.searchsorted(ends, picked, side="right"), pos[picked]
+            norms = []
+            for k, own in zip(np.unique(owner).tolist(), np.split(pos, np.flatnonzero(np.diff(owner)) + 1), strict=False):
+                lines = texts[k].as_py().split("\n")
+                norms += [n for n in normalised("\n".join([lines[p] for p in own.tolist()])) if n]
+            hashes = [line_hash(n) for n in norms]
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(norms, pa.string())], ["h", "norm"])
 
     read = _numbered(docs, id_col, text_col).select("text_hash", "text")
@@ -408,6 +422,11 @@ def _aligned(x: str, y: str) -> int:
     return total
 
 
+def _alone(x: str, y: str, most: int) -> bool:
+    """Whether two texts are so few edits apart; many similar lines differ in a few words."""
+    return _aligned(x, y) <= most or _edits(x, y, most) <= most
+
+
 def verdicts(xs: list[str], ys: list[str], similarity: float) -> np.ndarray:
     """Per pair, whether the edits are few enough; common ends do not count."""
     most = np.array([int((1 - similarity) * max(len(x), len(y)) + 1e-9) for x, y in zip(xs, ys, strict=True)], np.int64)
@@ -419,12 +438,11 @@ def verdicts(xs: list[str], ys: list[str], similarity: float) -> np.ndarray:
         rest.append((x[: len(x) - tail], y[: len(y) - tail]))
     long = np.array([max(len(x), len(y)) > LONG_CHARS for x, y in rest], bool)
     found, short = np.zeros(len(rest), bool), np.flatnonzero(~long)
-    found[short] = within([rest[k][0] for k in short], [rest[k][1] for k in short], most[short])
+    found[short] = within([rest[k][0] for k in short], [rest[k][1] for k in short], most[short], _alone)
     for k in np.flatnonzero(long):
         x, y = rest[k]
         if abs(len(x) - len(y)) <= most[k]:
-            # Many similar lines differ in a few words.
-            found[k] = max(len(x), len(y)) <= most[k] or _aligned(x, y) <= most[k] or _edits(x, y, int(most[k])) <= most[k]
+            found[k] = max(len(x), len(y)) <= most[k] or _alone(x, y, int(most[k]))
     return found
 
 
@@ -457,11 +475,13 @@ def similar_lines(docs: DataFrame, lines: DataFrame, distinct: DataFrame, id_col
 
     First every line is compared with the least and the largest of each of its keys, which
     joins large groups as stars. Only lines of a key that this leaves apart are then compared
-    one by one.
+    with each other.
     """
     met = _meetings(lines)
-    facts = distinct.select("h", "length", "high", "low", F.col("first.text_hash").alias("text_hash"))
+    place = [c for c in ("text_hash", "pos") if c in distinct.schema["first"].dataType.names]
+    facts = distinct.select("h", "length", "high", "low", *[f"first.{c}" for c in place])
     facts = stored(facts.join(met.select("h").distinct(), "h", "left_semi"), "facts")
+    texts = stored(_texts(docs, facts.select("h", *place), id_col, text_col), "texts")
     print_ = F.struct("length", "high", "low")
 
     ends = met.select("h", F.explode(F.array("lo", "hi")).alias("end")).filter("h <> end")
@@ -469,34 +489,142 @@ def similar_lines(docs: DataFrame, lines: DataFrame, distinct: DataFrame, id_col
     # A line may be the end of many: its facts are found by way of how often.
     often = stored(stars, "stars")
     near = _both(often, facts.select(F.col("h"), print_.alias("f"))).filter(_near("f", "g", similarity)).select("a", "b")
-    near = stored(near, "near")
-    wanted = stored(facts.select("h", "text_hash").join(_ends(near), "h", "left_semi"), "wanted")
-    texts = stored(_texts(docs, wanted, id_col, text_col), "texts")
-    roots = components(_verified(near, texts, similarity))
+    roots = stored(components(_verified(near, texts, similarity)), "roots")
 
+    # What differs from all its ends has been compared with them: the others remain.
     known = met.select("key", "h").join(roots.withColumnRenamed("a", "h"), "h", "left")
     known = stored(known.withColumn("root", F.coalesce("root", "h")), "rooted")
-    homes = known.groupBy("key").agg(F.min("root").alias("home"), F.max("root").alias("last"))
-    apart = known.join(homes.filter("home <> last").drop("last"), "key").join(facts.select("h", print_.alias("f")), "h")
-    apart = stored(apart, "apart")
-    other = apart.select("key", *[F.col(c).alias(to) for c, to in (("h", "h_"), ("root", "root_"), ("f", "g"))])
-    left = apart.filter("root <> home").join(
-        other,
-        (apart["key"] == other["key"])
-        & (F.col("root") != F.col("root_"))
-        & ((F.col("root_") == F.col("home")) | (F.col("h") < F.col("h_")))
-        & _near("f", "g", similarity),
+    homes = known.groupBy("key").agg(
+        F.min("h").alias("lo"), F.max("h").alias("hi"), F.count(F.lit(1)).alias("n"), F.min("root").alias("home"), F.max("root").alias("last")
     )
-    pairs = left.select(F.least("h", "h_").alias("a"), F.greatest("h", "h_").alias("b")).distinct()
-    pairs = stored(pairs.join(near, ["a", "b"], "left_anti"), "pairs")
-    wanted = stored(facts.select("h", "text_hash").join(_ends(pairs), "h", "left_semi"), "wanted")
-    texts = stored(_texts(docs, wanted, id_col, text_col), "texts")
-    links = _verified(pairs, texts, similarity)
-    return components(roots.withColumnRenamed("root", "b").unionByName(links)).withColumnRenamed("a", "h")
+    homes = homes.filter("home <> last and n > 3").select("key", "lo", "hi", F.ceil((F.col("n") - 2) / BLOCK_LINES).cast("int").alias("blocks"))
+    apart = known.join(homes, "key").filter("h <> lo and h <> hi")
+    meets = apart.groupBy("h").agg(F.min("root").alias("root"), F.sort_array(F.collect_list(F.struct("key", "blocks"))).alias("meets"))
+    apart = stored(meets.join(facts.drop(*place), "h").join(texts, "h"), "apart")
+    links = components(_compared(apart, similarity)).withColumnRenamed("root", "top")
+
+    # Roots that are linked now take along what is linked to them.
+    often = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    tops = often.join(links.withColumnRenamed("a", "root"), "root", "left").withColumn("top", F.coalesce("top", "root"))
+    moved = attach(roots, tops, ["root"], max(1, roots.count()))
+    return moved.select(F.col("a").alias("h"), F.col("top").alias("root")).unionByName(links.toDF("h", "root"))
+
+
+def _candidates(group: np.ndarray, side: np.ndarray, root: np.ndarray, length: np.ndarray, prints: np.ndarray, similarity: float) -> Iterator:
+    """Pairs of rows of a group, in portions: of two sides, if it has two, and of different roots, with near prints.
+
+    The rows are in order of group and length.
+    """
+    place = group * (int(length.max()) * 2 + 4)
+    most = np.minimum(np.floor((length + 1e-9) / similarity) + 1, length.max() + 1).astype(np.int64)
+    others = np.searchsorted(place + length, place + most, side="right") - np.arange(1, len(group) + 1)
+    ends = np.cumsum(others)
+    begin = 0
+    while begin < len(group):
+        after = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + GATHERED_PAIRS, side="right")))
+        sizes = others[begin:after]
+        a = np.repeat(np.arange(begin, after), sizes)
+        b = np.arange(len(a)) + np.repeat(np.arange(begin, after) + 1 - np.cumsum(sizes) + sizes, sizes)
+        bits = np.bitwise_count(prints[a, 0] ^ prints[b, 0]) + np.bitwise_count(prints[a, 1] ^ prints[b, 1])
+        kept = np.flatnonzero((bits < MOST_BITS) | (length[b] <= 4 * FEW_CHARS))
+        a, b = a[kept], b[kept]
+        kept = (root[a] != root[b]) & ((side[a] < 0) | (side[a] != side[b])) & (length[a] >= similarity * length[b] - 1e-9)
+        yield a[kept], b[kept]
+        begin = after
+
+
+def _met_before(keys: np.ndarray, offsets: np.ndarray, key: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the rows of a pair share a key that is less than that by which they meet here; a row's keys ascend."""
+    found = np.zeros(len(a), bool)
+    for i in range(int(np.diff(offsets).max(initial=0))):
+        own = np.flatnonzero(~found & (offsets[a] + i < offsets[a + 1]))
+        own = own[keys[offsets[a[own]] + i] < key[a[own]]]
+        if not len(own):
+            break
+        value = keys[offsets[a[own]] + i]
+        for j in range(int(np.diff(offsets).max())):
+            there = offsets[b[own]] + j
+            live = there < offsets[b[own] + 1]
+            own, value, there = own[live], value[live], there[live]
+            live = keys[there] <= value
+            own, value, there = own[live], value[live], there[live]
+            if not len(own):
+                break
+            found[own[keys[there] == value]] = True
+    return found
+
 
+def _links(table: pa.Table, similarity: float) -> pa.RecordBatch:
+    """The roots of similar lines in the same group; see ``_compared`` for the rows."""
+    key, i, j, own, h, root, length, high, low = (table.column(c).to_numpy() for c in range(9))
+    length = length.astype(np.int64)
+    group = np.cumsum(np.concatenate(([0], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))))
+    order = np.lexsort((length, group))
+    lists = table.column(9).combine_chunks().take(pa.array(order))
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    key, h, root, length, group = key[order], h[order], root[order], length[order], group[order]
+    prints = np.stack((high[order], low[order]), axis=1).view(np.uint64)
+    side = np.where(i == j, -1, own)[order]
+    keys, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+    offsets = offsets - offsets[0]
+    found = []
+    for a, b in _candidates(group, side, root, length, prints, similarity):
+        new = ~_met_before(keys, offsets, key, a, b)
+        found.append((a[new], b[new]))
+    a, b = (np.concatenate([pair[k] for pair in found]) for k in (0, 1))
+    # The same line may be in many rows.
+    lines, first, which = np.unique(h, return_index=True, return_inverse=True)
+    a, b = which[a], which[b]
+    used, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    norms = table.column(10).take(pa.array(order[first[used]])).to_pylist()
+    a, b, root = at[: len(a)], at[len(a) :], root[first[used]]
+    sizes = length[first[used]]
+    most = ((1 - similarity) * np.maximum(sizes[a], sizes[b]) + 1e-9).astype(np.int64)
+    left = Texts(norms).left(a, b, most) if len(a) else np.zeros(0, np.int64)
+    a, b = a[left], b[left]
+    pairs = [np.zeros(0, np.int64)]
+    weight = np.cumsum(sizes[a] + sizes[b]) // PORTION_BYTES
+    for own in np.split(np.arange(len(a)), np.flatnonzero(np.diff(weight)) + 1):
+        pairs.append(own[verdicts([norms[k] for k in a[own]], [norms[k] for k in b[own]], similarity)])
+    similar = np.concatenate(pairs)
+    return pa.RecordBatch.from_arrays([pa.array(root[a[similar]]), pa.array(root[b[similar]])], names=["a", "b"])
+
+
+def _compared(apart: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: roots of similar lines among those that meet, by the rows ``(h, root, meets, length, high, low, norm)``.
+
+    The lines of a key are dealt into blocks and every two blocks are a group: a line is sent
+    once for each block, never once for each other line, and pairs are made where they are
+    compared, by the least key that both lines have. Only those whose prints are near and
+    whose characters allow it are compared in full.
+    """
+    met = apart.select(
+        "*", F.explode("meets").alias("met"), F.transform("meets", lambda m: m["key"]).alias("keys")
+    ).drop("meets")
+    own = F.pmod(F.xxhash64("h"), F.col("met.blocks")).cast("int")
+    dealt = met.select("*", own.alias("own"), F.explode(F.expr("sequence(0, met.blocks - 1)")).alias("other"))
+    group = [F.col("met.key").alias("key"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")]
+    dealt = dealt.select(*group, "own", "h", "root", "length", "high", "low", "keys", "norm")
+    rows = apart.agg(F.sum(F.aggregate("meets", F.lit(0).cast("long"), lambda total, m: total + m["blocks"]))).first()[0] or 0
+    parts = max(2 * apart.sparkSession.sparkContext.defaultParallelism, rows // TASK_ROWS + 1)
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            waiting.append(batch)
+            if sum(x.num_rows for x in waiting) >= GATHERED_ROWS or sum(x.nbytes for x in waiting) >= GATHERED_BYTES:
+                table = pa.Table.from_batches(waiting)
+                # The last group may go on.
+                names = [table.column(c).to_numpy() for c in range(3)]
+                whole = int(np.flatnonzero(np.any([n != n[-1] for n in names], axis=0)).max(initial=-1)) + 1
+                if whole:
+                    yield _links(table.slice(0, whole), similarity)
+                    waiting = table.slice(whole).to_batches()
+        if waiting and sum(x.num_rows for x in waiting):
+            yield _links(pa.Table.from_batches(waiting), similarity)
+
+    dealt = dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def _both(pairs: DataFrame, facts: DataFrame) -> DataFrame:
