@@ -11,6 +11,7 @@ from logquarry.llm import edit_limits
 from logquarry.llm import fuzzy_lines as L
 from tests.llm.cases import frame
 from tests.llm.test_fuzzy_long import edits, mixed
+from tests.llm.test_fuzzy_recall import edits as edits_up_to
 from tests.llm.test_fuzzy_recall import groups_of
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -70,8 +71,8 @@ def test_groups_of_blocks_find_every_similar_pair_once(monkeypatch, blocks, port
     monkeypatch.setattr(L, "GATHERED_PAIRS", portion)
     monkeypatch.setattr(edit_limits, "FEW_LANES", 0)
     rng = random.Random(blocks)
-    lines = sharing(rng, 25)
-    lines += [changed(rng, rng.choice(lines), rng.randint(1, 14)) for _ in range(35)]
+    lines = sharing(rng, 25, own=10, passage=15)
+    lines += [changed(rng, rng.choice(lines), rng.randint(1, 7)) for _ in range(35)]
     lines += ["".join(rng.choices("ab ", k=rng.randint(3, 9))).strip() or "a" for _ in range(10)]
     keys = [{7, *rng.sample([5, 11, 13], rng.randint(0, 3))} - ({7} if n % 9 == 0 else set()) or {5} for n in range(len(lines))]
     table = rows(lines, keys, {5: 1, 7: blocks, 11: 2, 13: 1})
@@ -82,7 +83,8 @@ def test_groups_of_blocks_find_every_similar_pair_once(monkeypatch, blocks, port
         bits = int(np.bitwise_count(prints[x] ^ prints[y]).sum())
         short, long = sorted((len(lines[x]), len(lines[y])))
         near = short >= 0.8 * long - 1e-9 and (bits < L.MOST_BITS or long <= 4 * L.FEW_CHARS)
-        if keys[x] & keys[y] and root[x] != root[y] and near and edits(lines[x], lines[y]) <= int(0.2 * long + 1e-9):
+        most = int(0.2 * long + 1e-9)
+        if keys[x] & keys[y] and root[x] != root[y] and near and edits_up_to(lines[x], lines[y], most) <= most:
             want.append(tuple(sorted((root[x], root[y]))))
     found = L._links(table, 0.8)
     got = sorted(tuple(sorted(p)) for p in zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True))
